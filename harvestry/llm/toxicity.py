@@ -5,8 +5,8 @@ digits and signs that stand for letters are folded as well (with i and l as one
 not have letters or digits of the original text beside it. Matches inside an exception phrase don't count.
 
 Weights are smoothed log odds of a word's document frequencies in a bounded sample of labelled rows; near copies in it count
-once. Seed words without support in the sample keep a prior weight. A logistic curve over the total weight and the weight per
-100 words gives the score.
+once. Seed words without support in the sample keep a prior weight. A logistic curve over the total weight, the weight per
+100 words and the number of hits gives the score.
 """
 
 from __future__ import annotations
@@ -59,7 +59,7 @@ def fold_digits(text: str) -> str:
 class Model:
     weights: dict[str, float]
     exceptions: tuple[str, ...] = EXCEPTIONS
-    curve: tuple[float, ...] = (-4.0, 2.5, 0.5)
+    curve: tuple[float, ...] = (-4.0, 1.0, 0.5, 2.0)
     _automata: list = field(default_factory=list, repr=False)
 
     def automata(self) -> list:
@@ -104,16 +104,16 @@ class Model:
                 reach = b
         return out
 
-    def features(self, text: str) -> tuple[float, float]:
-        """Total weight, damped, and weight per 100 words, damped."""
-        total = sum(w for _, _, w in self.hits(text)) if text else 0.0
-        if not total:
-            return 0.0, 0.0
-        words = text.count(" ") + text.count("\n") + 1
-        return float(np.log1p(total)), float(np.log1p(100 * total / words))
+    def features(self, text: str) -> tuple[float, float, float]:
+        """Total weight, weight per 100 words, and hits, all damped."""
+        hits = self.hits(text) if text else []
+        if not hits:
+            return 0.0, 0.0, 0.0
+        total, words = sum(w for _, _, w in hits), text.count(" ") + text.count("\n") + 1
+        return float(np.log1p(total)), float(np.log1p(100 * total / words)), float(np.log(len(hits)))
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        x = np.array([self.features(t or "") for t in texts], dtype=float).reshape(-1, 2)
+        x = np.array([self.features(t or "") for t in texts], dtype=float).reshape(-1, 3)
         z = self.curve[0] + x @ np.array(self.curve[1:])
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -158,7 +158,7 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Mod
     for r in counts.where(strong | known).select("word", odds.alias("w")).orderBy(F.desc("w"), "word").limit(LEXICON_SIZE).collect():
         weights[r["word"]] = max(0.0, float(r["w"]))
     model = Model({w: x for w, x in weights.items() if x > 0})
-    rows = sorted((r["doc_id"], r["y"], r["a"], r["b"]) for r in sample.mapInPandas(_features(model), "doc_id long, y int, a double, b double").collect())
+    rows = sorted((r["doc_id"], r["y"], r["a"], r["b"], r["c"]) for r in sample.mapInPandas(_features(model), "doc_id long, y int, a double, b double, c double").collect())
     model.curve = fit_curve(np.array([r[2:] for r in rows]), np.array([r[1] for r in rows]))
     return model
 
@@ -166,8 +166,8 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Mod
 def _features(model: Model):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            x = np.array([model.features(t or "") for t in pdf["text"]], dtype=float).reshape(-1, 2)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "a": x[:, 0], "b": x[:, 1]})
+            x = np.array([model.features(t or "") for t in pdf["text"]], dtype=float).reshape(-1, 3)
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "a": x[:, 0], "b": x[:, 1], "c": x[:, 2]})
 
     return run
 
