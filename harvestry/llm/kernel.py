@@ -122,6 +122,14 @@ def range_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((total[end] - total[start]) * down[start])
 
 
+def range_sums(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the sequence values[start:end] for each pair."""
+    up, down = _powers.to(len(values) + 1)
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * up[: len(values)], out=total[1:])
+    return mix((total[end] - total[start]) * down[start])
+
+
 def tokens(block: Block, lower: bool = True) -> Tokens:
     """Words: runs without ASCII white space, A-Z folded to a-z if `lower`."""
     data = LOWER[block.data] if lower else block.data

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from harvestry.llm import html_text, media, neardup, quality, secret_scan, toxicity
+from harvestry.llm import decontam, html_text, media, mixing, neardup, pii, quality, secret_scan, spans, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.surrogate_report(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, sf_dir, "documents"))
 
@@ -25,10 +29,22 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.span_report(table(spark, sf_dir, "documents"))
+
+
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_report(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,6 +53,9 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.page_report(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_secret_scan, op3_near_duplicates, op4_toxicity, op6_media, op9_quality, op10_main_text)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (op1_surrogates, op2_secret_scan, op3_near_duplicates, op4_toxicity, op5_sentence_spans, op6_media, op7_decontamination, op8_mixing, op9_quality, op10_main_text)
+}
 
 ORACLE_SQL: dict[str, str] = {}
