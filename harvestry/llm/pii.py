@@ -50,7 +50,7 @@ PATTERNS = {
     "person": rf"(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}})(?:(?:{'|'.join(HONORIFICS)})\.? (?:(?:{_GIVEN}) )?{_NAME}|(?:{_GIVEN}) {_NAME})",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
-_PLAIN = {"email": "@", "ip": r"^[0-9.]+$", "phone": r"^\+|^\(|^[0-9]{3}[-.][0-9]{3}[-.]", "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$", "card": r"^[0-9]"}
+_PLAIN = {"email": "@", "ip": r"^[0-9]+[.][0-9.]+$", "phone": r"^\+|^\(|^[0-9]{3}[-.][0-9]{3}[-.]", "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$", "card": r"^[0-9]"}
 #: A text without any of these holds no entity; it is cheaper than PATTERN.
 SIGN = rf"[0-9@]|(?<!\p{{L}})(?=\p{{Lu}})(?:{'|'.join(HONORIFICS)}|{_GIVEN})\.? \p{{Lu}}"
 
@@ -77,7 +77,8 @@ def word_kind(word: Column) -> Column:
 
 def canonical(kind: Column, mention: Column) -> Column:
     """The entity without its format: digits of numbers, lower case of addresses."""
-    return F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(mention, "[^0-9]", "")).when(kind == "email", F.lower(mention)).otherwise(mention)
+    digits = F.regexp_replace(mention, "[^0-9]", "")
+    return F.when(kind.isin("card", "ssn"), digits).when(kind == "phone", F.concat(F.regexp_extract(mention, r"^\+?", 0), digits)).when(kind == "email", F.lower(mention)).otherwise(mention)
 
 
 def _stream(kind: Column, name: Column, attempt: Column, key: str) -> Column:
@@ -136,9 +137,10 @@ def _email(name: Column, stream: Column, key: str, attempt: Column) -> Column:
 
 
 def _phone(name: Column, stream: Column) -> Column:
-    """Digits for digits; the first is kept off zero."""
+    """Digits for digits; an international number keeps its plus sign and first digit, a national one doesn't begin with zero."""
     drawn = _like(name, stream)
-    return F.concat(F.when(F.substring(drawn, 1, 1) == "0", F.lit("7")).otherwise(F.substring(drawn, 1, 1)), F.substr(drawn, F.lit(2), F.length(drawn)))
+    national = F.concat(F.when(F.substring(drawn, 1, 1) == "0", F.lit("7")).otherwise(F.substring(drawn, 1, 1)), F.substr(drawn, F.lit(2), F.length(drawn)))
+    return F.when(name.startswith("+"), F.concat(F.substring(name, 1, 2), F.substr(drawn, F.lit(3), F.length(drawn)))).otherwise(national)
 
 
 def _name(kind: Column, stream: Column, attempt: Column) -> Column:
@@ -185,6 +187,7 @@ def assign(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
 
 def fill(mention: Column, drawn: Column) -> Column:
     """The mention's format with the surrogate's digits, one after the other."""
+    drawn = F.regexp_replace(drawn, "[^0-9]", "")
     digits_before = lambda i: F.length(F.regexp_replace(F.substr(mention, F.lit(1), i), "[^0-9]", ""))
     return F.array_join(F.transform(_chars(mention), lambda c, i: F.when(c.rlike("[0-9]"), F.substr(drawn, digits_before(i) + 1, F.lit(1))).otherwise(c)), "")
 
