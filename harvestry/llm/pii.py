@@ -115,7 +115,7 @@ def _luhn(digits: Column) -> Column:
 
 def _card(name: Column, stream: Column) -> Column:
     drawn = _like(name, stream)
-    head = F.substr(drawn, F.lit(1), F.length(drawn) - 1)
+    head = F.concat(F.substring(name, 1, 1), F.substr(drawn, F.lit(2), F.length(drawn) - 2))  # the first digit names the network
     check = F.pmod(10 - _luhn(F.concat(head, F.lit("0"))), F.lit(10))
     wrong = F.pmod(check + 1 + F.pmod(_number(stream, F.lit(60)), F.lit(9)), F.lit(10))
     return F.concat(head, F.when(_luhn(name) == 0, check).otherwise(wrong).cast("string"))
