@@ -215,24 +215,24 @@ def replacements(mentions: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
 def pseudonymise(df: DataFrame, key: str = DEFAULT_KEY, text: str = "text", id_column: str = "doc_id", count: str | None = None) -> DataFrame:
     """df with surrogates in its text; with `count`, a long column of the mentions replaced as well.
 
-    A null text stays null, an empty one empty, both with no mention. A document's replacements are joined to it by its id,
+    A null text stays null, an empty one empty, both with no mention. Texts without an entity take part in no join. The replacements of the others are joined by id,
     null ids included; rows that repeat an id share them, which changes nothing as a mention has one replacement everywhere.
     Long texts and texts with many mentions are rebuilt by split and zip, in linear time.
     """
     base = df.drop(count) if count else df
-    found = base.where(F.col(text).rlike(SIGN)).select(F.col(id_column).alias("id"), F.array_distinct(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).alias("mentions")).where(F.size("mentions") > 0)
+    holds = F.coalesce(F.col(text).rlike(SIGN) & F.col(text).rlike(PATTERN), F.lit(False))
+    found = base.where(holds).select(F.col(id_column).alias("id"), F.array_distinct(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).alias("mentions"))
     held = written(found.select("id", F.explode("mentions").alias("mention")), "mentions")
     pairs = written(replacements(held.select("mention").distinct(), key), "replacements")
     mine, theirs = clash_free(base.schema, "swap"), clash_free(base.schema, "id_swap")
     swaps = held.distinct().join(pairs, "mention").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("mention", "replacement"))).alias("swap"))
     swaps = written(swaps.select(F.col("id").alias(theirs), F.col("swap").alias(mine)), "swaps")
-    joined = base.join(swaps, F.col(id_column).eqNullSafe(F.col(theirs)), "left").drop(theirs)
+    joined = base.where(holds).join(swaps.hint("merge"), F.col(id_column).eqNullSafe(F.col(theirs))).drop(theirs)
     hits, rest = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), F.split(F.col(text), PATTERN, -1)
     rebuilt = F.array_join(F.zip_with(rest, hits, lambda a, b: F.concat(a, F.coalesce(F.element_at(F.col(mine), b), b, F.lit("")))), "")
-    columns = [F.when(F.col(mine).isNotNull() & F.col(text).isNotNull(), rebuilt).otherwise(F.col(text)).alias(text) if c == text else F.col(f"`{c}`") for c in base.columns]
-    if count:
-        columns.append(F.when(F.col(mine).isNotNull() & F.col(text).isNotNull(), F.size(hits)).otherwise(0).cast("long").alias(count))
-    return joined.select(*columns)
+    changed = joined.select(*(rebuilt.alias(c) if c == text else F.col(f"`{c}`") for c in base.columns), *([F.size(hits).cast("long").alias(count)] if count else []))
+    same = base.where(~holds)
+    return changed.unionByName(same.withColumn(count, F.lit(0).cast("long")) if count else same)
 
 
 def surrogate_report(docs: DataFrame) -> DataFrame:
