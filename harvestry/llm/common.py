@@ -1,37 +1,14 @@
-"""What the operators share: working folder, written intermediate tables, training rows."""
+"""What the operators share: written intermediate tables, training rows, bounded batches."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_own: dict[str, str] = {}
-
-
-def work_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the cluster's spark.checkpoint.dir, or a temporary one where that is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = tempfile.mkdtemp(prefix="harvestry-")
-        atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
-    return _own[app]
-
+from harvestry.workdir import written
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the working folder and read it back: lineage ends here, and a lost executor costs nothing done before."""
-    spark = df.sparkSession
-    path = f"{work_dir(spark)}/harvestry/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["BATCH_BYTES", "clash_free", "held_out", "map_batches", "remainder", "training_labels", "written"]
 
 
 def remainder(doc_id: Column) -> Column:
