@@ -223,6 +223,11 @@ def not_elongated(width: Column, height: Column, t: Thresholds = Thresholds()) -
     return F.try_divide(F.greatest(width, height), F.least(width, height)) <= t.max_aspect_ratio
 
 
+def origin_path(origin: Column) -> Column:
+    """A local path as the binary source writes it (one slash after the scheme)."""
+    return F.regexp_replace(origin, "^file:/+", "file:/")
+
+
 def filter_images(files: DataFrame, images: DataFrame | None = None, t: Thresholds = Thresholds(), brisque: Scorer | None = None, content: Scorer | None = None) -> DataFrame:
     """Paths of good images. files: binary files (path, content); images: Spark's image source rows, for decoded stages.
 
@@ -234,7 +239,7 @@ def filter_images(files: DataFrame, images: DataFrame | None = None, t: Threshol
     kept = sized.where(w.isNotNull() & large_enough(w, h, t) & not_elongated(w, h, t)).select("path")
     if images is None or (brisque is None and content is None):
         return kept
-    rows = images.withColumn("path", F.col("image.origin")).join(kept, "path", "left_semi")
+    rows = images.withColumn("path", origin_path(F.col("image.origin"))).join(kept, "path", "left_semi")
     if brisque is not None:
         rows = with_blur(rows).where(F.col("blur_score") >= t.blur)
         rows = with_score(rows, brisque, "brisque").where(F.col("brisque") <= t.brisque)

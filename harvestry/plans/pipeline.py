@@ -76,7 +76,7 @@ def run_pipeline(
         else:
             paths = files.image_paths(spark, config.input.image_dir)
         filtered = sinks.save_checked(files.with_ids(paths), f"{out}/filtered")
-    rows = files.images(spark, config.input.image_dir).withColumn("path", F.col("image.origin")).join(filtered, "path")
+    rows = files.images(spark, config.input.image_dir).withColumn("path", quality.origin_path(F.col("image.origin"))).join(filtered, "path")
     embedded = encode.encode(rows, make_encoder, batch=config.hardware.batch_size).where(F.col("embedding").isNotNull())
     result = curate(embedded.select("id", "path", "embedding"), config, out)
     result.skipped[:0] = skipped
