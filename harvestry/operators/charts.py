@@ -6,10 +6,10 @@ import logging
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from harvestry.functions.text import band, coverage_score, diversity_score, progress_bar, recommendations
-from harvestry.operators.evaluate import box_stats, histogram, nearest_distance, pair_distances, selected_vectors, vectors
+from harvestry.operators.evaluate import histogram, nearest_distance, pair_distances, selected_vectors, vectors
+from harvestry.operators.rank import global_rank, quantiles
 from harvestry.operators.reduce import CentredPCA
 from harvestry.operators.select import random_selection
 from harvestry.workdir import written
@@ -30,14 +30,14 @@ def projection(df: DataFrame, selection: DataFrame, method: str = "pca", most: i
 
 
 def cdf(distances: DataFrame, column: str = "distance", key: str = "id") -> DataFrame:
-    """(id, distance, share): rank over count; ties get ranks of their own, by id. The global order needs one sorted pass."""
-    ranked = distances.withColumn("rank", F.row_number().over(Window.orderBy(column, key)))
+    """(id, distance, share): rank over count; ties get ranks of their own, by id."""
+    ranked = global_rank(distances, column, key)
     return ranked.crossJoin(F.broadcast(distances.agg(F.count("*").alias("total")))).select(key, column, (F.col("rank") / F.col("total")).alias("share"))
 
 
 def box_plot(distances: DataFrame, column: str = "distance") -> DataFrame:
     """One row: quartiles, whiskers (the outermost values within 1.5 interquartile ranges) and the count beyond them."""
-    box = distances.agg(*box_stats(F.col(column)))
+    box = quantiles(distances, column, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     d, iqr = F.col(column), F.col("q3") - F.col("q1")
     inside = (d >= F.col("q1") - 1.5 * iqr) & (d <= F.col("q3") + 1.5 * iqr)
     return distances.crossJoin(F.broadcast(box)).groupBy("q1", "median", "q3").agg(F.min(F.when(inside, d)).alias("whisker_low"), F.max(F.when(inside, d)).alias("whisker_high"), F.count_if(~inside).alias("outliers"))
@@ -47,7 +47,8 @@ def coverage_distribution(df: DataFrame, selection: DataFrame, normalize: bool =
     """histogram (50 bins), cdf, box, and summary with minimum and 99th percentile, of distances of vectors as they are."""
     vecs = vectors(df, normalize, key, vector)
     near = written(nearest_distance(vecs, selected_vectors(vecs, selection)), "near")
-    summary = near.agg(F.min("distance").alias("min"), F.avg("distance").alias("mean"), F.median("distance").alias("median"), F.max("distance").alias("max"), F.percentile("distance", F.lit(0.99)).alias("p99"))
+    moments = near.agg(F.min("distance").alias("min"), F.avg("distance").alias("mean"), F.max("distance").alias("max"))
+    summary = moments.crossJoin(quantiles(near, "distance", {"median": 0.5, "p99": 0.99}))
     return {"histogram": histogram(near, bins=50), "cdf": cdf(near), "box": box_plot(near), "summary": summary}
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from harvestry.functions.vectors import l2, l2_normalize
 from harvestry.operators.knn import nearest_distance
+from harvestry.operators.rank import quantiles
 from harvestry.workdir import written
 
 MAX_PAIRS = 10_000
@@ -26,12 +27,9 @@ def selected_vectors(vecs: DataFrame, selection: DataFrame) -> DataFrame:
 def coverage(distances: DataFrame) -> DataFrame:
     """One row of statistics of the distances to the nearest selected row; nulls if there are none."""
     d = F.col("distance")
-    p = F.percentile(d, F.array(*(F.lit(x) for x in (0.25, 0.5, 0.75, 0.95))))
-    row = distances.agg(F.max(d).alias("coverage_radius_max"), F.avg(d).alias("coverage_radius_mean"), F.median(d).alias("coverage_radius_median"), F.stddev_pop(d).alias("coverage_radius_std"), p.alias("p"))
-    return row.select(
-        "coverage_radius_max", "coverage_radius_mean", "coverage_radius_median", "coverage_radius_std", F.col("p")[0].alias("coverage_p25"), F.col("p")[1].alias("coverage_p50"),
-        F.col("p")[2].alias("coverage_p75"), F.col("p")[3].alias("coverage_radius_95th"),
-    )
+    moments = distances.agg(F.max(d).alias("coverage_radius_max"), F.avg(d).alias("coverage_radius_mean"), F.stddev_pop(d).alias("coverage_radius_std"))
+    places = quantiles(distances, "distance", {"coverage_p25": 0.25, "coverage_p50": 0.5, "coverage_p75": 0.75, "coverage_radius_95th": 0.95})
+    return moments.crossJoin(places).select("coverage_radius_max", "coverage_radius_mean", F.col("coverage_p50").alias("coverage_radius_median"), "coverage_radius_std", "coverage_p25", "coverage_p50", "coverage_p75", "coverage_radius_95th")
 
 
 def pair_distances(selected: DataFrame) -> DataFrame:
@@ -109,9 +107,3 @@ def validate_selection(df: DataFrame, selection: DataFrame, key: str = "id") ->
         raise ValueError(f"selected ids that are not there: {[r['id'] for r in missing]}")
     if selection.count() > df.count():
         raise ValueError("more rows are selected than there are")
-
-
-def box_stats(distance: Column) -> list[Column]:
-    """Quartiles of a box plot."""
-    p = F.percentile(distance, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return [p[0].alias("q1"), p[1].alias("median"), p[2].alias("q3")]

@@ -18,8 +18,8 @@ from harvestry.workdir import written
 
 log = logging.getLogger(__name__)
 METHODS = ("random", "kmeans", "fps", "hybrid", "spectral")
-#: Numbers that one task may hold for the exact farthest-point kernel: 1 GB of doubles. Beyond it, core-sets are used.
-EXACT_NUMBERS = 1 << 27
+#: Numbers that one task may hold for the exact farthest-point kernel: half a GB of doubles. Beyond it, core-sets are used.
+EXACT_NUMBERS = 1 << 26
 
 
 def farthest(m: np.ndarray, k: int, first: int = 0, anchors: np.ndarray | None = None) -> np.ndarray:

@@ -104,3 +104,16 @@ def test_features_join_by_id(spark):
     a = spark.createDataFrame([(1, [1.0]), (2, [2.0])], "id long, embedding array<double>")
     b = spark.createDataFrame([(2, [20.0]), (1, [10.0]), (3, [30.0])], "id long, embedding array<double>")
     assert {r["id"]: r["embedding"] for r in combine_features(a, b).collect()} == {1: [1.0, 10.0], 2: [2.0, 20.0]}
+
+
+def test_ranks_and_quantiles_are_global(spark):
+    from harvestry.operators.rank import global_rank, quantiles
+
+    values = np.random.default_rng(5).integers(0, 40, 500).astype(float)
+    df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(values)], "id long, x double").repartition(7)
+    ranked = global_rank(df, "x", "id").collect()
+    want = sorted((x, i) for i, x in enumerate(values))
+    assert [(r["x"], r["id"]) for r in sorted(ranked, key=lambda r: r["rank"])] == want and sorted(r["rank"] for r in ranked) == list(range(1, 501))
+    got = quantiles(df, "x", {"a": 0.0, "b": 0.13, "c": 0.5, "d": 1.0}).first()
+    assert np.allclose(list(got), np.quantile(values, [0, 0.13, 0.5, 1]))
+    assert tuple(quantiles(df.limit(0), "x", {"a": 0.5}).first()) == (None,)
