@@ -1,7 +1,7 @@
 """Substring deduplication by sliding sentence spans.
 
-A text is cut into sentences (after . ! ? or at a line end); sentences of more than 12 words are cut further every 12 words
-from their start, so that a long repeated sentence is seen too. Every run of three consecutive sentences with 10 words or more is hashed and
+A text is cut into sentences (after . ! ? or at a line end); sentences of more than 12 words are cut further before every word
+whose hash is divisible by 8, so that a repeated passage is cut alike wherever it starts in a sentence. Every run of three consecutive sentences with 10 words or more is hashed and
 joined globally. The first occurrence of a run, by document and place, stays; sentences covered by any other occurrence go.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from harvestry.llm.common import clash_free, map_batches, written
 from harvestry.llm.kernel import Block, blocks, mix, range_sums, tokens
 
-RUN, MIN_WORDS, MAX_WORDS = 3, 10, 12
+RUN, MIN_WORDS, MAX_WORDS, CUT = 3, 10, 12, 8
 _END = np.zeros(256, dtype=bool)
 _END[list(b".!?")] = True
 
@@ -45,8 +45,9 @@ def sentences(block: Block) -> Sentences:
     opens[1:] |= _END[block.data[tok.end[:-1] - 1]]
     lines = np.concatenate([[0], np.cumsum(block.data == 10)])
     opens[1:] |= lines[tok.start[1:]] > lines[tok.end[:-1]]
-    at = np.arange(n)
-    opens |= (at - np.maximum.accumulate(np.where(opens, at, 0))) % MAX_WORDS == 0
+    first = np.flatnonzero(opens)
+    length = np.diff(np.r_[first, n])
+    opens |= np.repeat(length > MAX_WORDS, length) & (tok.hash % np.uint64(CUT) == 0)
     first = np.flatnonzero(opens)
     last = np.r_[first[1:], n]
     return Sentences(last - first, tok.start[first], tok.end[last - 1], range_sums(tok.hash, first, last), np.searchsorted(first, tok.bounds))

@@ -3,26 +3,47 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from harvestry.llm import spans
+from harvestry.llm.kernel import blocks, tokens
 
 SCHEMA = "doc_id long, text string"
 
 
+def divisible(word: str) -> bool:
+    return int(tokens(next(blocks(pa.array([word])))).hash[0]) % spans.CUT == 0
+
+
 def pieces(text: str) -> list[tuple[list[str], int, int]]:
     """Words, start and end of each sentence, the plain way."""
     out: list[tuple[list[str], int, int]] = []
+    places: list[tuple[int, int]] = []
     last = None
     for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
         word = "".join(c.lower() if "A" <= c <= "Z" else c for c in m[0])
-        cut = last is None or text[last.end() - 1] in ".!?" or "\n" in text[last.end() : m.start()] or len(out[-1][0]) == spans.MAX_WORDS
+        cut = last is None or text[last.end() - 1] in ".!?" or "\n" in text[last.end() : m.start()]
         if cut:
             out.append(([word], m.start(), m.end()))
         else:
             out[-1] = ([*out[-1][0], word], out[-1][1], m.end())
         last = m
-    return out
+        places.append(m.span())
+    cuts = []
+    at = 0
+    for words, start, end in out:
+        if len(words) <= spans.MAX_WORDS:
+            cuts.append((words, start, end))
+        else:
+            for k, word in enumerate(words):
+                a, b = places[at + k]
+                if k == 0 or divisible(word):
+                    cuts.append(([word], a, b))
+                else:
+                    cuts[-1] = ([*cuts[-1][0], word], cuts[-1][1], b)
+        at += len(words)
+    return cuts
 
 
 def brute(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, int, str | None]]:
@@ -81,6 +102,14 @@ def test_a_passage_of_one_long_sentence_goes(spark, words):
     assert got[1] == rows[0][1] and got[2] == "Other start now.\nSomething else."
 
 
+def test_a_passage_inside_sentences_goes_but_for_its_ends(spark):
+    passage = " ".join(f"v{k}" for k in range(120))
+    rows = [(1, "a few words before " + passage + " and some words after"), (2, "quite another beginning of the text " + passage + " with its own end")]
+    got = {r["doc_id"]: r["text"] for r in spans.span_report(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[1] == rows[0][1]
+    assert len(re.findall(r"v\d+", got[2])) < 40 and got[2].startswith("quite another beginning") and got[2].endswith("its own end")
+
+
 def test_null_keys_repeats_and_clashing_columns(spark):
     passage = "one two three four. five six seven eight. nine ten eleven twelve."
     rows = [(None, passage, 1), (1, passage, 2), (1, passage, 2), (2, passage, 3)]
