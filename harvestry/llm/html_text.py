@@ -36,6 +36,9 @@ SKIPPED_WORDS = frozenset(
     "commentlist disqus reply replies sidebar aside rail menu navbar nav navigation navi breadcrumb breadcrumbs pagination pager footer foot header masthead topbar share sharing social "
     "related recommended recommendations popup modal overlay newsletter subscribe subscription signup login widget widgets toolbar skip hidden".split()
 )
+ARTICLE_WORDS = frozenset("ad advert comment comments related reply".split())
+LAYOUT_WORDS = frozenset("has with no without layout wrapper grid".split())
+OWN_WORDS = frozenset("article entry post story content".split())
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form toolbar".split())
 REGIONS = frozenset("article main section div td body html".split())
 _SPLIT = re.compile(r"[^a-z0-9]+")
@@ -44,6 +47,16 @@ _SPACE = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+def names_skipped(value: str, words: frozenset[str]) -> bool:
+    """Whether a class or id names one of the words; names like has-sidebar speak of the page, and names like post-header of its title."""
+    for name in value.split():
+        parts = _SPLIT.split(_CAMEL.sub("-", name).lower())
+        if words.isdisjoint(parts) or not LAYOUT_WORDS.isdisjoint(parts) or (parts[-1] == "header" and not OWN_WORDS.isdisjoint(parts)):
+            continue
+        return True
+    return False
+
+
 def is_skipped(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     if tag in SKIPPED:
         return True
@@ -52,9 +65,7 @@ def is_skipped(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     for name, value in attrs:
         value = value or ""
         if name in ("class", "id"):
-            if tag not in ("article", "main") and not SKIPPED_WORDS.isdisjoint(_SPLIT.split(_CAMEL.sub("-", value).lower())):
-                return True
-            if tag == "article" and not {"comment", "comments", "ad", "advert", "related", "reply"}.isdisjoint(_SPLIT.split(value.lower())):
+            if names_skipped(value, ARTICLE_WORDS if tag in ("article", "main") else SKIPPED_WORDS):
                 return True
         elif name == "role" and value.strip().lower() in SKIPPED_ROLES:
             return True

@@ -19,6 +19,7 @@ P = "This is a paragraph of running text with enough words to look like the main
         (f"<article><header><p>by me</p></header><p>{P}</p><p hidden>{P}</p><p style='display: none'>{P}</p></article>", P.strip()),
         ("<p>&#65;&#x42;&eacute;&lt;b&gt;</p>", "ABé<b>"),
         (f"<html><body><article>{'<p>' + P + '</p>'}<!-- {P} --></article></body></html>", P.strip()),
+        (f"<div class='page has-sidebar'><div class=post-header><h1>T</h1></div><p>{P}</p><div class='comments-wrapper-x comments'>{P}</div></div>", f"T {P}".strip()),
         ("<p>unclosed <b>tag", "unclosed tag"),
     ],
 )
