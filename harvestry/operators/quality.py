@@ -6,8 +6,8 @@ then a scorer (a model) runs. Spark doesn't reorder Python work by cost, so the
 
 from __future__ import annotations
 
+import math
 import struct
-import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: A scorer gets a batch [n, 3, 512, 512] and gives n numbers, NaN where it can't.
+Scorer = Callable[[np.ndarray], np.ndarray]
+
+
 @dataclass(frozen=True)
 class Thresholds:
     min_resolution: int = 256
@@ -136,55 +140,70 @@ def pixels_of(data: bytes, height: int, width: int, channels: int) -> np.ndarray
     return np.repeat(a, 3, axis=2) if channels == 1 else a[..., :3]
 
 
-def png_pixels(data: bytes) -> np.ndarray | None:
-    """BGR pixels of an 8-bit gray, RGB or RGBA PNG without interlacing, decoded here; None for others."""
-    try:
-        at, packed, head = 8, b"", None
-        while at + 8 <= len(data):
-            n, kind = struct.unpack(">I4s", data[at : at + 8])
-            body = data[at + 8 : at + 8 + n]
-            if kind == b"IHDR":
-                head = struct.unpack(">IIBBBBB", body)
-            elif kind == b"IDAT":
-                packed += body
-            at += 12 + n
-        w, h, depth, colour, _, _, interlace = head
-        if depth != 8 or interlace or colour not in (0, 2, 6):
-            return None
-        c = {0: 1, 2: 3, 6: 4}[colour]
-        rows, out, before = zlib.decompress(packed), np.zeros((h, w * c), dtype=np.uint8), np.zeros(w * c, dtype=np.int64)
-        for y in range(h):
-            kind, line = rows[y * (w * c + 1)], np.frombuffer(rows[y * (w * c + 1) + 1 : (y + 1) * (w * c + 1)], dtype=np.uint8).astype(np.int64)
-            before = _unfilter(kind, line, before, c)
-            out[y] = before
-        a = out.reshape(h, w, c)
-        return np.repeat(a, 3, axis=2) if c == 1 else a[..., 2::-1]
-    except (struct.error, zlib.error, TypeError, ValueError, IndexError):
-        return None
-
-
-def _unfilter(kind: int, line: np.ndarray, above: np.ndarray, c: int) -> np.ndarray:
-    if kind == 0:
-        return line
-    if kind == 2:
-        return (line + above) % 256
-    if kind == 1:
-        return (np.cumsum(line.reshape(-1, c), axis=0) % 256).ravel()
-    out = np.zeros(len(line) + c, dtype=np.int64)
-    up = np.concatenate([np.zeros(c, dtype=np.int64), above])
-    for i in range(len(line)):
-        a, b, d = out[i], up[i + c], up[i]
-        if kind == 3:
-            guess = (a + b) // 2
-        else:
-            pa, pb, pc = abs(b - d), abs(a - d), abs(a + b - 2 * d)
-            guess = a if pa <= pb and pa <= pc else b if pb <= pc else d
-        out[i + c] = (line[i] + guess) % 256
-    return out[c:]
+def _normalised(g: np.ndarray) -> np.ndarray:
+    """Luminance less its local mean, over its local deviation (plus one), under a 7 x 7 Gaussian window."""
+    k = np.exp(-0.5 * (np.arange(-3, 4) / (7 / 6)) ** 2)
+    k /= k.sum()
 
+    def blur(a: np.ndarray) -> np.ndarray:
+        p = np.pad(a, 3, mode="edge")
+        rows = sum(w * p[i : i + a.shape[0]] for i, w in enumerate(k))
+        return sum(w * rows[:, i : i + a.shape[1]] for i, w in enumerate(k))
 
-#: A scorer gets a batch [n, 3, 512, 512] and gives n numbers, NaN where it can't.
-Scorer = Callable[[np.ndarray], np.ndarray]
+    mean = blur(g)
+    return (g - mean) / (np.sqrt(np.abs(blur(g * g) - mean**2)) + 1)
+
+
+_SHAPES = np.arange(0.2, 10.001, 0.001)
+_GAMMA = np.vectorize(math.gamma)
+_RATIO = _GAMMA(2 / _SHAPES) ** 2 / (_GAMMA(1 / _SHAPES) * _GAMMA(3 / _SHAPES))
+
+
+def _shape(ratio: float) -> float:
+    return float(_SHAPES[np.abs(_RATIO - ratio).argmin()])
+
+
+def _general(x: np.ndarray) -> list[float]:
+    """Shape and variance of a generalised Gaussian, by moments."""
+    square, mean = float((x**2).mean()), float(np.abs(x).mean())
+    return [_shape(mean**2 / square) if square > 0 else 10.0, square]
+
+
+def _skewed(x: np.ndarray) -> list[float]:
+    """Shape, mean, and left and right variances of an asymmetric generalised Gaussian, by moments."""
+    left, right = x[x < 0], x[x > 0]
+    ls, rs = (float(np.sqrt((v**2).mean())) if len(v) else 0.0 for v in (left, right))
+    square = float((x**2).mean())
+    if not square or not rs:
+        return [10.0, 0.0, ls**2, rs**2]
+    side = ls / rs
+    a = _shape(float(np.abs(x).mean()) ** 2 / square * (side**3 + 1) * (side + 1) / (side**2 + 1) ** 2)
+    mean = (rs - ls) * math.gamma(2 / a) / math.sqrt(math.gamma(1 / a) * math.gamma(3 / a))
+    return [a, mean, ls**2, rs**2]
+
+
+def natural_scene_statistics(g: np.ndarray) -> np.ndarray:
+    """The 36 features that no-reference scorers are trained on: two scales; the normalised luminance and its products with four neighbours."""
+    out: list[float] = []
+    g = g.astype(np.float64)
+    for scale in range(2):
+        x = _normalised(g)
+        out += _general(x)
+        for other in (x[:, :-1] * x[:, 1:], x[:-1] * x[1:], x[:-1, :-1] * x[1:, 1:], x[:-1, 1:] * x[1:, :-1]):
+            out += _skewed(other)
+        if not scale:
+            h, w = (n - n % 2 for n in g.shape)
+            g = g[:h, :w].reshape(h // 2, 2, w // 2, 2).mean(axis=(1, 3))
+    return np.array(out)
+
+
+def trained_scorer(predict: Callable[[np.ndarray], np.ndarray]) -> Scorer:
+    """A scorer from a trained regressor over the 36 features; the weights are the caller's."""
+
+    def score(batch: np.ndarray) -> np.ndarray:
+        return predict(np.stack([natural_scene_statistics(gray((b[::-1] * 255).transpose(1, 2, 0))) for b in batch]))
+
+    return score
 
 
 def with_blur(images: DataFrame, image: str = "image", out: str = "blur_score") -> DataFrame:

@@ -67,6 +67,12 @@ def setup_logging(config: Config) -> None:
     logging.basicConfig(level=config.logging.level.upper(), handlers=handlers, force=True, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
 
 
+def system_info(spark: SparkSession) -> dict[str, object]:
+    """What a run's log should say about where it ran."""
+    context = spark.sparkContext
+    return {"spark": spark.version, "master": context.master, "parallelism": context.defaultParallelism, "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions")}
+
+
 def evaluate(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """Metrics of a curate run's last embeddings and selection, with charts beside them unless they aren't wanted."""
     stages = [s for s in ("deduplicated", "embeddings_reduced", "embeddings_raw") if files._exists(spark, f"{args.output_dir}/{s}")]
@@ -89,6 +95,7 @@ def main(argv: list[str] | None = None) -> int:
         if args.command == "curate":
             config = load_config(args.config, overrides(args))
             setup_logging(config)
+            log.info("%s", system_info(spark))
             curate(spark.read.parquet(args.embeddings), config, config.output.output_dir)
         elif args.command == "evaluate":
             evaluate(spark, args).show(truncate=False)

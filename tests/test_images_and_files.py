@@ -70,7 +70,6 @@ def test_blur_is_the_plain_laplacian():
 
 def test_pixels_and_resize():
     a = noise(20, 10)
-    assert (quality.png_pixels(png(a)) == a[..., ::-1]).all() and quality.png_pixels(b"x") is None
     assert (quality.resize(np.full((9, 30, 3), 77, np.uint8), 16) == 77).all() and quality.tensor(a, 32).shape == (3, 32, 32)
 
 
@@ -87,6 +86,20 @@ def test_headers(data, size):
     assert quality.image_size(data) == size
 
 
+def test_natural_scene_statistics():
+    rng = np.random.default_rng(0)
+    sharp = rng.normal(128, 40, (96, 96))
+    f = quality.natural_scene_statistics(sharp)
+    assert f.shape == (36,) and np.isfinite(f).all()
+    assert abs(quality._general(rng.normal(0, 3, 50_000))[0] - 2) < 0.1 and abs(quality._general(rng.laplace(0, 3, 50_000))[0] - 1) < 0.1
+    assert abs(quality._skewed(rng.normal(0, 2, 50_000))[1]) < 0.1
+    heavy = quality.natural_scene_statistics(128 + 10 * rng.standard_t(2, (96, 96)))
+    assert heavy[0] < f[0]
+    assert np.isfinite(quality.natural_scene_statistics(np.full((20, 20), 9))).all()
+    score = quality.trained_scorer(lambda x: x[:, 0] * 10)
+    assert score(np.stack([quality.tensor(noise(64, 64), 64)] * 2)).shape == (2,)
+
+
 def test_funnel_counts(spark):
     rows = quality.funnel(spark.range(10), {"a": F.col("id") > 3, "b": F.col("id") % 2 == 0}).collect()
     assert [(r["stage"], r["rows"], r["passed"]) for r in rows] == [("a", 10, 6), ("b", 6, 3)]
