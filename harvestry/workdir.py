@@ -24,12 +24,22 @@ def work_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+def _app_dir(spark: SparkSession) -> str:
+    return f"{work_dir(spark)}/harvestry/{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete the tables that this application has written; for when no result that is yet to be computed needs them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_app_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the working folder and read it back: lineage ends here, and a lost executor costs nothing done before.
 
     Sizes of what was written are known to the planner, so a later join broadcasts it only if it is under spark.sql.autoBroadcastJoinThreshold.
     """
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/harvestry/{name}-{uuid.uuid4().hex}"
+    path = f"{_app_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
