@@ -160,7 +160,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     distinct = items.select("w").distinct()
     count = distinct.count()
     if count <= broadcast_windows:
-        known = np.sort(np.array([r[0] for r in distinct.collect()], dtype=np.int64))
+        known = np.sort(distinct.toArrow()["w"].to_numpy().astype(np.int64))
         found = template_windows(base, "id", only=known)
     else:
         found = template_windows(base, "id").join(distinct, "w", "left_semi")
