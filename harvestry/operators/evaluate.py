@@ -39,10 +39,10 @@ def pair_distances(selected: DataFrame) -> DataFrame:
 
 
 def sampled_pairs(selected: DataFrame, pairs: int = MAX_PAIRS, seed: int = 42) -> DataFrame:
-    """(i, j, distance) of seeded random pairs with replacement, without pairs of a row with itself, for selections with more than `pairs` pairs."""
+    """(i, j, distance) of seeded random pairs (drawn by MD5 of the pair's number) with replacement, without pairs of a row with itself, for selections with more than `pairs` pairs."""
     spark, n = selected.sparkSession, selected.count()
     placed = selected.withColumn("place", F.row_number().over(Window.orderBy("id")) - 1)
-    draw = lambda salt, m: F.pmod(F.xxhash64(F.col("id"), F.lit(f"{salt}:{seed}")), F.lit(m)).cast("int")
+    draw = lambda salt, m: (F.conv(F.substring(F.md5(F.concat(F.col("id").cast("string"), F.lit(f":{salt}:{seed}")).cast("binary")), 1, 8), 16, 10).cast("long") % m).cast("int")
     drawn = spark.range(pairs).select(draw("a", n).alias("p"), draw("b", n - 1).alias("q")).withColumn("q", F.when(F.col("q") >= F.col("p"), F.col("q") + 1).otherwise(F.col("q")))
     side = lambda place, i, v: placed.select(F.col("place").alias(place), F.col("id").alias(i), F.col("embedding").alias(v))
     return drawn.join(side("p", "i", "x"), "p").join(side("q", "j", "y"), "q").select("i", "j", l2("x", "y").alias("distance"))

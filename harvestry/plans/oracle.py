@@ -142,6 +142,10 @@ SQL: dict[str, str] = {
     "coverage_nn_distance": f"{WITH}, {FPS}, {near_cte('fps')} SELECT id, round(distance, 6) AS distance FROM near",
     "coverage_metrics": f"{WITH}, {FPS}, {near_cte('fps')} {coverage_of()}",
     "diversity_metrics": f"{WITH}, {FPS}, {pairs_cte('fps')} {diversity_of()}",
+    "diversity_sampled": f"""WITH {E}, {U}, {random_cte('rnd', 200)}, s AS (SELECT id, v, row_number() OVER (ORDER BY id) - 1 AS place FROM u JOIN rnd USING (id)),
+    n AS (SELECT count(*) AS n FROM s), d AS (SELECT ('0x' || substr(md5(concat(k, ':a:42')), 1, 8))::BIGINT % n AS p, ('0x' || substr(md5(concat(k, ':b:42')), 1, 8))::BIGINT % (n - 1) AS q FROM range(10000) t(k), n),
+    pairs AS (SELECT list_distance(a.v, b.v) AS distance FROM d JOIN s a ON a.place = d.p JOIN s b ON b.place = CASE WHEN d.q >= d.p THEN d.q + 1 ELSE d.q END)
+    {diversity_of()}""",
     "distance_histogram": f"{WITH}, {FPS}, {near_cte('fps')} SELECT bin, round(lo, 6) AS lo, round(hi, 6) AS hi, n FROM ({bins_of(20)})",
     "histogram_bars": f"{WITH}, {FPS}, {near_cte('fps')} SELECT bin, round((lo + hi) / 2, 6) AS centre, round(hi - lo, 6) AS width, n FROM ({bins_of(50)})",
     "coverage_cdf": f"{WITH}, {FPS}, {near_cte('fps')}, r AS (SELECT id, round(distance, 6) AS distance FROM near) SELECT id, distance, round(row_number() OVER (ORDER BY distance, id) / count(*) OVER (), 6) AS share FROM r",

@@ -55,7 +55,7 @@ def test_chain_keeps_every_other(spark):
     assert sorted(r["id"] for r in dedup.deduplicate(df, 0.95).collect()) == [0, 2, 4]
 
 
-def test_capped_neighbours_are_the_reference_rule(spark):
+def test_the_cap_on_neighbours(spark):
     df = frame(spark, [[1.0, 0.0]] * 15)
     kept = sorted(r["id"] for r in dedup.deduplicate(df, 0.95, k=10).collect())
     # 0 drops 1..9; of 10..14 each has the ten lowest ids as its neighbours, none of them later
