@@ -8,8 +8,8 @@ Steps. (1) Equal sets become one class, whose node is its smallest doc_id; only
 bucket the smallest node leads; candidates are the distinct pairs of a leader and a member, a number linear in the buckets' rows.
 (3) Candidates are pruned by exact set sizes and by the likelihood estimate, and the rest is verified on the full texts. (4) Pairs
 of members that verified links have not yet joined are compared in full: leader pairs connect nodes to clusters, a
-cluster is cut into tiles of TILE x TILE nodes, and a task counts all intersections of a tile at once and returns
-only links that join components. Tiles inside one component are left out. So no link is lost to a cap, and no pairs of a
+cluster is cut into blocks of TILE nodes (fewer if their sets are large), and for each pair of blocks a task counts all intersections at once and returns
+only links that join components. Tiles, as these pairs are called, inside one component are left out. So no link is lost to a cap, and no pairs of a
 bucket are emitted. (5) Components come from alternating large-star and small-star steps over written edge tables; nothing of
 it reaches the driver but counts.
 
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
@@ -34,7 +34,7 @@ from harvestry.llm.kernel import binary_column, blocks, mix, sets, tokens
 REGISTERS, BANDS, ROWS = 256, 42, 6
 BASE, RATE, LEVELS = 1.02, 20.0, 4094
 MARGIN = 0.12
-TILE = 512
+TILE, LONG = 512, 1024
 SLICE, CHUNK, RARE = 2048, 4096, 16
 
 _rng = np.random.default_rng(7)
@@ -200,13 +200,17 @@ def _tile(width: int, percent: int):
     return run
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step over edges (a, b) with a < b. Large: each node's larger neighbours get its least neighbour; small: its smaller ones."""
+def _star(edges: DataFrame, large: bool, name: str) -> DataFrame:
+    """One star step over edges (a, b) with a < b. Large: each node's larger neighbours get its least neighbour; small: its smaller ones.
+
+    The least neighbours are aggregated map-side and written before the join, so that the join reads plain exchanges and a hub that
+    a third of all edges share can be split over tasks.
+    """
     if large:
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        return both.where("v > u").join(least, "u").where("m < v").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
-    least = edges.groupBy("b").agg(F.min("a").alias("m"))
+        least = written(both.groupBy(F.col("u").alias("a")).agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{name}-least")
+        return edges.join(least, "a").select(F.col("m").alias("a"), "b").distinct()
+    least = written(edges.groupBy("b").agg(F.min("a").alias("m")), f"{name}-least")
     joined = edges.join(least, "b")
     return joined.where("a > m").select(F.col("m").alias("a"), F.col("a").alias("b")).union(joined.select(F.col("m").alias("a"), "b")).distinct()
 
@@ -220,7 +224,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     edges = written(edges, name)
     before = size(edges)
     while before[0]:
-        edges = written(_star(_star(edges, True), False), name)
+        edges = written(_star(written(_star(edges, True, name), name), False, name), name)
         now = size(edges)
         if now == before:
             break
@@ -268,7 +272,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     bands = written(map_batches(nodes.select("node", "registers"), _bands, f"key long, node {id_type}"), "bands")
     leaders = bands.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").select("key", "leader")
     shared = written(bands.join(leaders, "key").distinct(), "buckets")
-    wanted = written(shared.select("node").distinct(), "wanted")
+    wanted = written(shared.select("node").distinct().join(nodes.groupBy("node").agg(F.max("n").alias("n")), "node"), "wanted")
     texts = written(rows.where(F.col("id").isNotNull()).join(wanted, F.col("id") == F.col("node"), "left_semi").dropDuplicates().select(F.col("id").alias("node"), "text"), "texts")
     verifier = _Verifier(nodes.join(wanted, "node", "left_semi"), texts, width, percent)
 
@@ -279,7 +283,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     placed = _labelled(_labelled(wanted, components(pairs, "clusters"), "node", "cluster"), labels, "node", "component")
     mixed = placed.groupBy("cluster").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("cluster")
     order = Window.partitionBy("cluster").orderBy("component", "node")
-    placed = written(placed.join(mixed, "cluster", "left_semi").withColumn("block", F.floor((F.row_number().over(order) - 1) / TILE).cast("int")), "placed")
+    placed = written(placed.join(mixed, "cluster", "left_semi").withColumn("block", F.floor((F.sum(F.greatest("n", F.lit(LONG))).over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1) / (TILE * LONG)).cast("int")), "placed")
     parts = placed.groupBy("cluster", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     other = parts.select("cluster", F.col("block").alias("y"), F.col("lo").alias("ylo"), F.col("hi").alias("yhi"))
     tiles = parts.withColumnRenamed("block", "x").join(other, "cluster").where("x <= y AND NOT (lo = hi AND ylo = yhi AND lo = ylo)")
