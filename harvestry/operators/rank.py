@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from harvestry.workdir import written
 
 
-def global_rank(df: DataFrame, *order: str, out: str = "rank") -> DataFrame:
-    """df with its place (long, from 1) in the order of the columns, which should leave no ties for a definite result.
+def running_total(df: DataFrame, weight: Column, *order: str, out: str = "total") -> DataFrame:
+    """df with the sum of weights (longs) of all rows up to its own in the order of the columns, which should leave no ties for a definite result.
 
-    Rows are dealt out by range and written with the number of their partition; a place is that within the partition plus the sizes of those
-    before it. Only one number for each partition is gathered.
+    Rows are dealt out by range and written with the number of their partition; a total is that within the partition plus those of the
+    partitions before it. Only one number for each partition is gathered.
     """
-    parts = written(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
+    parts = written(df.withColumn("_weight", weight.cast("long")).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
     before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = parts.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order)).cast("long")
-    return parts.withColumn("_place", place).join(F.broadcast(offsets), "_part").withColumn(out, F.col("_place") + F.col("_before")).drop("_part", "_place", "_before")
+    offsets = parts.groupBy("_part").agg(F.sum("_weight").alias("_n")).select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    inside = F.sum("_weight").over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return parts.withColumn("_inside", inside).join(F.broadcast(offsets), "_part").withColumn(out, F.col("_inside") + F.col("_before")).drop("_part", "_inside", "_before", "_weight")
+
+
+def global_rank(df: DataFrame, *order: str, out: str = "rank") -> DataFrame:
+    """df with its place (long, from 1) in the order of the columns."""
+    return running_total(df, F.lit(1), *order, out=out)
 
 
 def quantiles(df: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
