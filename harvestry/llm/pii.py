@@ -128,7 +128,7 @@ def _ip(name: Column, stream: Column) -> Column:
     return F.array_join(F.transform(parts, lambda c, i: F.when(i < kept, c).when(i == 0, first.cast("string")).otherwise((1 + F.pmod(_number(stream, i), F.lit(254))).cast("string"))), ".")
 
 
-def _email(name: Column, stream: Column, key: str, attempt: Column) -> Column:
+def _email(name: Column, stream: Column, key: str) -> Column:
     """The local part by the entity's stream, the domain by the domain's own (so domains agree), the last label as it is."""
     local, domain = F.substring_index(name, "@", 1), F.substring_index(name, "@", -1)
     last = F.substring_index(domain, ".", -1)
@@ -158,7 +158,7 @@ def _name(kind: Column, stream: Column, attempt: Column) -> Column:
 
 def surrogate(kind: Column, name: Column, attempt: Column, key: str) -> Column:
     s = _stream(kind, name, attempt, key)
-    return F.when(kind == "email", _email(name, s, key, attempt)).when(kind == "ip", _ip(name, s)).when(kind == "card", _card(name, s)).when(kind == "phone", _phone(name, s)).when(kind == "ssn", _like(name, s)).otherwise(_name(kind, s, attempt))
+    return F.when(kind == "email", _email(name, s, key)).when(kind == "ip", _ip(name, s)).when(kind == "card", _card(name, s)).when(kind == "phone", _phone(name, s)).when(kind == "ssn", _like(name, s)).otherwise(_name(kind, s, attempt))
 
 
 def assign(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
