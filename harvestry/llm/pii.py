@@ -44,7 +44,7 @@ _GIVEN = "|".join(n for names in GIVEN.values() for n in names)
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "ip": rf"(?<![0-9A-Za-z.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9A-Za-z])(?!\.[0-9])",
-    "phone": r"(?<![0-9A-Za-z+])\+[1-9][0-9]{0,2}(?:[ .-]?\([0-9]{2,4}\))?(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9A-Za-z])|(?<![0-9A-Za-z+(])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9A-Za-z-])",
+    "phone": r"(?<![0-9A-Za-z+])\+(?=(?:[ .()-]{0,2}[0-9]){7,15})[1-9][0-9]{0,2}(?:[ .-]?\([0-9]{2,4}\))?(?:[ .-]?[0-9]{1,4}){2,5}(?![0-9A-Za-z])|(?<![0-9A-Za-z+(])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9A-Za-z-])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "card": r"(?<![0-9A-Za-z-])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9A-Za-z])",
     "person": rf"(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}})(?:(?:{'|'.join(HONORIFICS)})\.? (?:(?:{_GIVEN}) )?{_NAME}|(?:{_GIVEN}) {_NAME})",

@@ -27,11 +27,14 @@ def test_formats_types_and_coreference(spark):
         (1, "Call +1 (407) 555-7710 or write Jane.Doe7@mail.example.com from 10.20.30.40, not 8.8.4.4."),
         (2, "jane.doe7@mail.example.com and +1 407 555 7710; card 4539 1488 0343 6467 or 4539148803436467, 123-45-6789"),
         (3, "4785380592391139"),
+        (5, "+33 1 23 45 67 89, (407) 555-7710 or 407-555-7710"),
         (4, "nothing here, 24be64439e3e49cf46b2d7c90f3602a3 and 12345"),
     ]
     got = out_of(spark, rows)
-    assert [got[k]["n"] for k in (1, 2, 3, 4)] == [4, 5, 1, 0]
-    assert got[4]["text"] == rows[3][1]
+    assert [got[k]["n"] for k in (1, 2, 3, 4, 5)] == [4, 5, 1, 0, 3]
+    assert got[4]["text"] == rows[4][1]
+    five = re.fullmatch(r"(\+3\d \d \d\d \d\d \d\d \d\d), (\(\d{3}\) \d{3}-\d{4}) or (\d{3}-\d{3}-\d{4})", got[5]["text"])
+    assert re.sub(r"\D", "", five[2]) == re.sub(r"\D", "", five[3]) != "4075557710"
     one = re.fullmatch(r"Call (\+1 \(\d{3}\) \d{3}-\d{4}) or write ([A-Z][a-z]{3}\.[A-Z][a-z]{2}\d@[a-z]{4}\.[a-z]{7}\.com) from (10\.\d+\.\d+\.\d+), not ((?:\d+\.){3}\d+)\.", got[1]["text"])
     two = re.fullmatch(r"(\S+@\S+) and (\+1 \d{3} \d{3} \d{4}); card (4\d{3} \d{4} \d{4} \d{4}) or (4\d{15}), (\d{3}-\d{2}-\d{4})", got[2]["text"])
     assert one and two
@@ -88,6 +91,6 @@ def test_the_main_path_has_no_python(spark):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
-@pytest.mark.parametrize("text", ["1.2.3.4.5", "a@b", "+12", "4785-3805", "300.1.1.1", "x1234567890123456y", "1234567890123456789"])
+@pytest.mark.parametrize("text", ["1.2.3.4.5", "a@b", "+12", "+12 5 6", "4785-3805", "300.1.1.1", "x1234567890123456y", "1234567890123456789"])
 def test_what_is_no_entity_stays(spark, text):
     assert out_of(spark, [(1, text)])[1]["text"] == text
