@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from harvestry.llm.common import map_batches, written
 from harvestry.llm.kernel import binary_column, blocks, mix, sets, tokens
+from harvestry.operators.rank import running_total
 
 REGISTERS, BANDS, ROWS = 256, 42, 6
 BASE, RATE, LEVELS = 1.02, 20.0, 4094
@@ -215,21 +215,20 @@ def _star(edges: DataFrame, large: bool, name: str) -> DataFrame:
     return joined.where("a > m").select(F.col("m").alias("a"), F.col("a").alias("b")).union(joined.select(F.col("m").alias("a"), "b")).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: no node has two edges to lesser nodes, or edges to lesser and to larger ones."""
+    ends = edges.select(F.col("b").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")).union(edges.select("a", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("parent").alias("parent")).where("child > 1 OR (child = 1 AND parent = 1)").isEmpty()
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """(id, component) for every node of the edges (a < b): the least node it can reach.
+    """(id, component) for every node but the least of each component, from edges a < b: the least node it can reach.
 
-    The edge table is written after each pair of steps; the steps end when its count and checksum stay the same.
+    The edges should be stored ones, as each step reads them more than once. A table is written after each step, until the edges are stars.
     """
-    size = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-    edges = written(edges, name)
-    before = size(edges)
-    while before[0]:
+    while not _settled(edges):
         edges = written(_star(written(_star(edges, True, name), name), False, name), name)
-        now = size(edges)
-        if now == before:
-            break
-        before = now
-    return edges.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("component"))
+    return edges.select(F.col("b").alias("id"), F.col("a").alias("component"))
 
 
 def _labelled(nodes: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame:
@@ -278,12 +277,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
 
     pairs = written(shared.where("node > leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     links = written(verifier.links(pairs, id_type), "links")
-    labels = written(components(links), "labels")
+    labels = components(links, "labels")
 
     placed = _labelled(_labelled(wanted, components(pairs, "clusters"), "node", "cluster"), labels, "node", "component")
     mixed = placed.groupBy("cluster").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("cluster")
-    order = Window.partitionBy("cluster").orderBy("component", "node")
-    placed = written(placed.join(mixed, "cluster", "left_semi").withColumn("block", F.floor((F.sum(F.greatest("n", F.lit(LONG))).over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1) / (TILE * LONG)).cast("int")), "placed")
+    run = running_total(placed.join(mixed, "cluster", "left_semi"), F.greatest("n", F.lit(LONG)), "cluster", "component", "node", out="total")
+    placed = written(run.withColumn("block", F.floor((F.col("total") - 1) / (TILE * LONG)).cast("long")), "placed")  # a block of two clusters counts as two
     parts = placed.groupBy("cluster", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     other = parts.select("cluster", F.col("block").alias("y"), F.col("lo").alias("ylo"), F.col("hi").alias("yhi"))
     tiles = parts.withColumnRenamed("block", "x").join(other, "cluster").where("x <= y AND NOT (lo = hi AND ylo = yhi AND lo = ylo)")
@@ -291,14 +290,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     members = tiles.join(placed, ["cluster", "block"]).join(texts, "node").select("cluster", "x", "y", "node", "component", "text")
     more = written(members.groupBy("cluster", "x", "y").applyInArrow(_tile(width, percent), f"a {id_type}, b {id_type}"), "links")
     if not more.isEmpty():
-        labels = written(components(more.unionByName(labels.select(F.col("component").alias("a"), F.col("id").alias("b")))), "labels")
+        labels = components(more.unionByName(labels.select(F.col("component").alias("a"), F.col("id").alias("b"))), "labels")
 
     ids = some.select("id", "d1", "d2", "n").join(classes, ["d1", "d2", "n"]).select("id", "n", "node")
-    held = ids.groupBy("id").agg(F.min("node").alias("node"), F.max("node").alias("last"))
-    tied = held.where("node < last")  # a repeated key ties the classes of its texts together
-    if not tied.isEmpty():
-        ties = ids.select(F.col("id"), F.col("node")).where("node < id").select(F.col("node").alias("a"), F.col("id").alias("b")).distinct()
-        labels = written(components(ties.unionByName(labels.select(F.col("component").alias("a"), F.col("id").alias("b")))), "labels")
+    if not some.groupBy("id").agg(F.min("d1").alias("x"), F.max("d1").alias("y"), F.min("d2").alias("z"), F.max("d2").alias("w")).where("x < y OR z < w").isEmpty():
+        ties = ids.where("node < id").select(F.col("node").alias("a"), F.col("id").alias("b")).distinct()  # a repeated key ties the classes of its texts together
+        labels = components(written(ties.unionByName(labels.select(F.col("component").alias("a"), F.col("id").alias("b"))), "ties"), "labels")
     done = _labelled(ids, labels, "node", "component_id").select("id", F.col("n").alias("n_shingles"), "component_id")
     none = table.where((F.col("n") == 0) | F.col("id").isNull()).select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
     return done.unionByName(none).withColumnRenamed("id", key)
