@@ -22,5 +22,8 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    from harvestry.session import reachable
+
+    reachable(s)
     yield s
     s.stop()
