@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harvestry.session import reachable
 from harvestry.workdir import written
 
 __all__ = ["BATCH_BYTES", "clash_free", "held_out", "map_batches", "remainder", "training_labels", "written"]
@@ -48,5 +49,6 @@ BATCH_BYTES = "8m"
 
 def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
     """df.mapInArrow, with batches bounded by bytes (long texts) and not by rows alone."""
+    reachable(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df.mapInArrow(run, schema)

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from harvestry.llm.common import clash_free, held_out, map_batches, training_labels, written
 from harvestry.llm.kernel import blocks, shingles, tokens
+from harvestry.session import reachable
 
 TRAINING_ROWS = 8000
 THRESHOLD = 0.3
@@ -120,6 +121,7 @@ class Model:
 
 def sample_texts(docs: DataFrame, labels: DataFrame, column: str, limit: int) -> DataFrame:
     """The texts of the training rows (y, text), written once; the labelled side has at most `limit` rows and is broadcast."""
+    reachable(docs.sparkSession)
     rows = F.broadcast(training_labels(labels, column, limit))
     return written(docs.select("doc_id", "text").join(rows, "doc_id").select("doc_id", "y", "text"), "training")
 
