@@ -34,12 +34,13 @@ def clean(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, sparse: bool = False) -> DataFrame:
     """Write df as Parquet to the working folder and read it back: lineage ends here, and a lost executor costs nothing done before.
 
     Sizes of what was written are known to the planner, so a later join broadcasts it only if it is under spark.sql.autoBroadcastJoinThreshold.
+    sparse: df keeps few rows of what it read, so it is rebalanced first, which saves a tiny file for each task of a large scan.
     """
     spark = df.sparkSession
     path = f"{_app_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.hint("rebalance") if sparse else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
