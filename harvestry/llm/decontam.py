@@ -1,11 +1,14 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words lose punctuation at their ends and A-Z is folded. Numbers, numbers with a unit, units after a number, and capitalised words inside a
+Words lose punctuation at their ends and letter case (Latin, Greek, Cyrillic). Numbers, numbers with a unit, units after a number, and capitalised words inside a
 sentence become typed placeholders. Windows of five canonical words, of which at least two are no placeholders, are hashed
 and joined with those of the benchmark. A document is contaminated by an item if it holds at least 0.8 of the item's distinct windows
 and the slots agree: along one alignment, or over all of them, each value of a slot type in the item stands for one value in the
 document, and the other way round. So a question with other numbers or names is caught, and a chance mix of windows is not.
 
+Items are read in two ways, with names as placeholders and with names as words; a text in which half of the words or more are in capitals
+shows no names and is read in the second way.
+
 The benchmark's windows are broadcast as hashes only if there are at most BROADCAST_WINDOWS of them; beyond that, windows of
 the documents are joined by a shuffle.
 """
@@ -64,7 +67,19 @@ class Canonical:
     bounds: np.ndarray
 
 
-def canonical(block: Block) -> Canonical:
+def folded(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with capitals of Latin (ASCII and Latin-1), Greek and Cyrillic in lower case; lengths stay."""
+    out = LOWER[data]
+    for lead, low, high, up, step in ((0xC3, 0x80, 0x9E, 0, 32), (0xCE, 0x91, 0x9F, 0, 32), (0xCE, 0xA0, 0xA9, 1, -32), (0xD0, 0x90, 0x9F, 0, 32), (0xD0, 0xA0, 0xAF, 1, -32)):
+        at = np.flatnonzero(data[:-1] == lead)
+        at = at[(data[at + 1] >= low) & (data[at + 1] <= high) & (data[at + 1] != 0x97 if lead == 0xC3 else True)]
+        out[at] += up
+        out[at + 1] = (out[at + 1].astype(np.int64) + step).astype(np.uint8)
+    return out
+
+
+def canonical(block: Block, names: bool = True) -> Canonical:
+    """The block's canonical words; without `names`, capitalised words are words."""
     tok = tokens(block)
     data = block.data
     solid = np.flatnonzero(_ALNUM[data])
@@ -74,7 +89,7 @@ def canonical(block: Block) -> Canonical:
     i, j = np.searchsorted(solid, tok.start), np.searchsorted(solid, tok.end)
     full = np.flatnonzero(j > i)
     start, end = solid[i[full]], solid[j[full] - 1] + 1
-    value = range_hash(LOWER[data], start, end)
+    value = range_hash(folded(data), start, end)
     digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
     letters = np.concatenate([[0], np.cumsum(_ALNUM[data] & ~_DIGIT[data])])
     d, c = digits[end] - digits[start], letters[end] - letters[start]
@@ -87,7 +102,12 @@ def canonical(block: Block) -> Canonical:
     lead = data[start]
     after = data[np.minimum(start + 1, len(data) - 1)]
     upper = ((lead >= 65) & (lead <= 90)) | ((lead == 0xC3) & (after >= 0x80) & (after <= 0x9E))
-    kind[(kind == _WORD) & upper & ~opens] = _NAME
+    if names:
+        small = np.concatenate([[0], np.cumsum((data >= 97) & (data <= 122))])
+        large = np.concatenate([[0], np.cumsum((data >= 65) & (data <= 90))])
+        loud, lettered = (large[end] > large[start]) & (small[end] == small[start]), c > 0
+        shouted = np.bincount(row[loud], minlength=block.rows) * 2 >= np.maximum(np.bincount(row[lettered], minlength=block.rows), 1)
+        kind[(kind == _WORD) & upper & ~opens & ~shouted[row]] = _NAME
     unit = np.zeros(len(full), dtype=bool)
     follows = np.flatnonzero((kind[1:] == _WORD) & (kind[:-1] == _NUMBER) & (row[1:] == row[:-1])) + 1 if len(full) > 1 else np.zeros(0, dtype=np.int64)
     if len(follows):
@@ -125,7 +145,7 @@ def _slots(words: Canonical, row: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), flat)
 
 
-def template_windows(df: DataFrame, key: str, text: str = "text", only: np.ndarray | None = None) -> DataFrame:
+def template_windows(df: DataFrame, key: str, text: str = "text", only: np.ndarray | None = None, names: bool = True) -> DataFrame:
     """(key, w, at, slots): every template window, or those whose hash is among `only` (sorted)."""
     kind = df.schema[key].dataType.simpleString()
     shared = df.sparkSession.sparkContext.broadcast(only) if only is not None else None
@@ -133,7 +153,7 @@ def template_windows(df: DataFrame, key: str, text: str = "text", only: np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(1)):
-                words = canonical(block)
+                words = canonical(block, names)
                 row, at, _, value = windows(words)
                 value = value.view(np.int64)
                 if shared is not None and len(value):
@@ -154,8 +174,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
     Rows without a key or text take no part. Items with no window (fewer than five words, or hardly a plain word) can't be found.
     """
-    items = written(template_windows(benchmark.where(F.col("item_id").isNotNull()), "item_id"), "items")
-    sizes = items.groupBy("item_id").agg(F.countDistinct("w").alias("size"))
+    bench = benchmark.where(F.col("item_id").isNotNull())
+    readings = [template_windows(bench, "item_id", names=names).withColumn("reading", F.lit(k)) for k, names in enumerate((True, False))]
+    items = written(readings[0].unionByName(readings[1]), "items", sparse=True)
+    item = ["item_id", "reading"]
+    sizes = items.groupBy(*item).agg(F.countDistinct("w").alias("size"))
     base = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
     distinct = items.select("w").distinct()
     count = distinct.count()
@@ -164,23 +187,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         found = template_windows(base, "id", only=known)
     else:
         found = template_windows(base, "id").join(distinct, "w", "left_semi")
-    found = written(found, "windows")
-    met = found.join(items.select("item_id", "w", F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), "w").withColumn("shift", F.col("at") - F.col("item_at"))
-    many = met.groupBy("id", "item_id").agg(F.countDistinct("w").alias("n")).join(sizes, "item_id").where(F.col("n") >= share * F.col("size"))
-    met = written(met.join(many.select("id", "item_id", "size", "n"), ["id", "item_id"]), "met")
-    by_shift = ["id", "item_id", "shift"]
+    found = written(found, "windows", sparse=True)
+    pair = ["id", *item]
+    met = found.join(items.select(*item, "w", F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), "w").withColumn("shift", F.col("at") - F.col("item_at"))
+    many = met.groupBy(*pair).agg(F.countDistinct("w").alias("n")).join(sizes, item).where(F.col("n") >= share * F.col("size"))
+    met = written(met.join(many.select(*pair, "size", "n"), pair), "met")
+    by_shift = [*pair, "shift"]
     along = met.groupBy(*by_shift).agg(F.countDistinct("w").alias("m"), F.max("size").alias("size")).where(F.col("m") >= share * F.col("size")).select(*by_shift)
-    pairs = lambda by: met.select(*by, F.explode(F.arrays_zip("item_slots", "slots")).alias("z")).select(*by, F.col("z.item_slots.kind").alias("kind"), F.col("z.item_slots.value").alias("x"), F.col("z.slots.value").alias("y")).distinct()
+    slots = lambda by: met.select(*by, F.explode(F.arrays_zip("item_slots", "slots")).alias("z")).select(*by, F.col("z.item_slots.kind").alias("kind"), F.col("z.item_slots.value").alias("x"), F.col("z.slots.value").alias("y")).distinct()
 
     def clashing(by: list[str]) -> DataFrame:
-        one = pairs(by).groupBy(*by, "kind", "x").agg(F.count("*").alias("c")).where("c > 1").select(*by)
-        two = pairs(by).groupBy(*by, "kind", "y").agg(F.count("*").alias("c")).where("c > 1").select(*by)
+        one = slots(by).groupBy(*by, "kind", "x").agg(F.count("*").alias("c")).where("c > 1").select(*by)
+        two = slots(by).groupBy(*by, "kind", "y").agg(F.count("*").alias("c")).where("c > 1").select(*by)
         return one.union(two).distinct()
 
-    aligned = along.join(clashing(by_shift), by_shift, "left_anti").select("id", "item_id")
-    loose = many.select("id", "item_id").join(clashing(["id", "item_id"]), ["id", "item_id"], "left_anti")
+    aligned = along.join(clashing(by_shift), by_shift, "left_anti").select(*pair)
+    loose = many.select(*pair).join(clashing(pair), pair, "left_anti")
     agreed = aligned.union(loose).distinct()
-    return many.join(agreed, ["id", "item_id"], "left_semi").select("id", "item_id", (F.col("n") / F.col("size")).alias("coverage"))
+    return many.join(agreed, pair, "left_semi").groupBy("id", "item_id").agg(F.max(F.col("n") / F.col("size")).alias("coverage"))
 
 
 def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

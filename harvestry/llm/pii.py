@@ -222,7 +222,7 @@ def pseudonymise(df: DataFrame, key: str = DEFAULT_KEY, text: str = "text", id_c
     base = df.drop(count) if count else df
     holds = F.coalesce(F.col(text).rlike(SIGN) & F.col(text).rlike(PATTERN), F.lit(False))
     found = base.where(holds).select(F.col(id_column).alias("id"), F.array_distinct(F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).alias("mentions"))
-    held = written(found.select("id", F.explode("mentions").alias("mention")), "mentions")
+    held = written(found.select("id", F.explode("mentions").alias("mention")), "mentions", sparse=True)
     pairs = written(replacements(held.select("mention").distinct(), key), "replacements")
     mine, theirs = clash_free(base.schema, "swap"), clash_free(base.schema, "id_swap")
     swaps = held.distinct().join(pairs, "mention").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("mention", "replacement"))).alias("swap"))

@@ -123,7 +123,7 @@ def sample_texts(docs: DataFrame, labels: DataFrame, column: str, limit: int) ->
     """The texts of the training rows (y, text), written once; the labelled side has at most `limit` rows and is broadcast."""
     reachable(docs.sparkSession)
     rows = F.broadcast(training_labels(labels, column, limit))
-    return written(docs.select("doc_id", "text").join(rows, "doc_id").select("doc_id", "y", "text"), "training")
+    return written(docs.select("doc_id", "text").join(rows, "doc_id").select("doc_id", "y", "text"), "training", sparse=True)
 
 
 def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -23,9 +23,9 @@ def test_leaks(spark, limit):
     clash = ITEM.replace("of Jones", "of Smith")
     docs = [
         (1, text + ITEM + " And more."), (2, OTHER.upper().capitalize().lower()), (3, text + changed), (4, text + clash), (5, "nothing of the kind is in here at all, not a word of it"), (6, None), (7, ""),
-        (None, ITEM), (8, " ".join(OTHER.split()[:9])), (9, OTHER.replace(" ", "\n")), (10, "filler words go here " * 3000 + ITEM), (11, ITEM + " " + OTHER), (1, text + ITEM + " And more."),
+        (None, ITEM), (8, " ".join(OTHER.split()[:9])), (9, OTHER.replace(" ", "\n")), (10, "filler words go here " * 3000 + ITEM), (11, ITEM + " " + OTHER), (12, "SHOUTED WORDS ARE HERE! " + ITEM.upper()), (1, text + ITEM + " And more."),
     ]
-    assert found(spark, docs, broadcast_windows=limit) == [(1, 1), (2, 2), (3, 1), (9, 2), (10, 1), (11, 1), (11, 2)]
+    assert found(spark, docs, broadcast_windows=limit) == [(1, 1), (2, 2), (3, 1), (9, 2), (10, 1), (11, 1), (11, 2), (12, 1)]
 
 
 def test_twice_with_other_values_is_seen_by_alignment(spark):
@@ -42,6 +42,13 @@ def test_canonical_types():
     assert c.bounds.tolist() == [0, 15, 15, 15]
 
 
+def test_letter_case_of_other_scripts():
+    for text in ("Éàß×Þ Größe", "Ελληνικά ΑΩΡΣ", "Русский ЯЁ Текст"):
+        (block,) = blocks(pa.array([text]))
+        got = decontam.folded(block.data).tobytes().decode()
+        assert got == "".join(c if c in "Ёά" else c.lower() for c in text)
+
+
 def test_report_and_filter(spark):
     docs = spark.createDataFrame([(1, ITEM, "a"), (2, "clean text of some words here", "b"), (None, None, "c")], "doc_id long, text string, leaked string")
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
