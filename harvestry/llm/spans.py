@@ -1,8 +1,10 @@
 """Substring deduplication by sliding sentence spans.
 
 A text is cut into sentences (after . ! ? or at a line end); sentences of more than 12 words are cut further before every word
-whose hash is divisible by 8, so that a repeated passage is cut alike wherever it starts in a sentence. Every run of three consecutive sentences with 10 words or more is hashed and
-joined globally. The first occurrence of a run, by document and place, stays; sentences covered by any other occurrence go.
+whose hash is divisible by 8, so that a repeated passage is cut alike wherever it starts in a sentence. From every
+sentence a run goes on until it has three sentences and 20 words, and to every sentence one comes from as far back as that; so a
+passage with that much is covered to both its ends. Runs are hashed and joined globally. The first occurrence of a run, by
+document and place, stays; sentences covered by any other occurrence go.
 """
 
 from __future__ import annotations
@@ -16,9 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.llm.common import clash_free, map_batches, written
-from harvestry.llm.kernel import Block, blocks, mix, range_sums, tokens
+from harvestry.llm.kernel import Block, blocks, range_sums, tokens
 
-RUN, MIN_WORDS, MAX_WORDS, CUT = 3, 10, 12, 8
+RUN, MIN_WORDS, MAX_WORDS, CUT = 3, 20, 12, 8
 _END = np.zeros(256, dtype=bool)
 _END[list(b".!?")] = True
 
@@ -53,41 +55,40 @@ def sentences(block: Block) -> Sentences:
     return Sentences(last - first, tok.start[first], tok.end[last - 1], range_sums(tok.hash, first, last), np.searchsorted(first, tok.bounds))
 
 
-def runs(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, first sentence (within the row) and hash of every run of RUN sentences with MIN_WORDS words or more."""
+def runs(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first sentence (within the row), length in sentences and hash of every run."""
     s = sentences(block)
-    n = len(s.hash) - RUN + 1
-    if n < 1:
-        empty = np.zeros(0, dtype=np.int64)
-        return empty, empty, empty.astype(np.uint64)
-    value, words = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=np.int64)
-    for k in range(RUN):
-        value = value * np.uint64(0xD6E8FEB86659FD93) + s.hash[k : n + k]
-        words += s.words[k : n + k]
+    n = len(s.hash)
+    total = np.concatenate([[0], np.cumsum(s.words)])
     row = np.repeat(np.arange(block.rows), np.diff(s.bounds))
-    keep = (row[:n] == row[RUN - 1 :]) & (words >= MIN_WORDS)
-    at = np.flatnonzero(keep)
-    return row[at], at - s.bounds[row[at]], mix(value[at])
+    at = np.arange(n)
+    end = np.maximum(at + RUN, np.searchsorted(total, total[:-1] + MIN_WORDS))
+    ahead = end <= s.bounds[row + 1]
+    start = np.minimum(at + 1 - RUN, np.searchsorted(total, total[1:] - MIN_WORDS, "right") - 1)
+    back = start >= s.bounds[row]
+    back[back] = end[start[back]] != at[back] + 1  # else it is a run ahead as well
+    first, last, owner = np.r_[at[ahead], start[back]], np.r_[end[ahead], at[back] + 1], np.r_[row[ahead], row[back]]
+    return owner, first - s.bounds[owner], last - first, range_sums(s.hash, first, last)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block in blocks(batch.column(1)):
-            row, at, value = runs(block)
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), batch.column(0).take(pa.array(row + block.first)), pa.array(at.astype(np.int32))], names=["run", "id", "at"])
+            row, at, length, value = runs(block)
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), batch.column(0).take(pa.array(row + block.first)), pa.array(at.astype(np.int32)), pa.array(length.astype(np.int32))], names=["run", "id", "at", "length"])
 
 
 def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, at): the first sentence of every occurrence of a repeated run but the run's first occurrence.
+    """(id, at, length): first sentence and length of every occurrence of a repeated run but the run's first occurrence.
 
     Runs are counted with map-side aggregation before any join, so a run that a third of all documents share costs a row a task.
     """
     kind = df.schema[key].dataType.simpleString()
-    found = written(map_batches(df.select(key, text).where(F.col(key).isNotNull() & F.col(text).isNotNull()), _runs, f"run long, id {kind}, at int"), "runs")
+    found = written(map_batches(df.select(key, text).where(F.col(key).isNotNull() & F.col(text).isNotNull()), _runs, f"run long, id {kind}, at int, length int"), "runs")
     several = written(found.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").select("run"), "repeated")
     hits = written(found.join(several, "run"), "hits")
     first = hits.groupBy("run").agg(F.min(F.struct("id", "at")).alias("first"))
-    return hits.join(first, "run").where(F.struct("id", "at") != F.col("first")).select("id", "at")
+    return hits.join(first, "run").where(F.struct("id", "at") != F.col("first")).select("id", "at", "length")
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", counts: tuple[str, str] = ("n_sentences", "n_removed")) -> DataFrame:
@@ -97,7 +98,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", count
     Rows that repeat a key count as one document: a place is first in each of them or in none. Columns named as the two counts are replaced.
     """
     base = df.drop(*counts)
-    covered = repeated_spans(base, key, text).select("id", F.explode(F.sequence("at", F.col("at") + RUN - 1)).alias("at"))
+    covered = repeated_spans(base, key, text).select("id", F.explode(F.sequence("at", F.col("at") + F.col("length") - 1)).alias("at"))
     gone = written(covered.groupBy("id").agg(F.collect_set("at").alias("gone")), "gone")
     mine, theirs = clash_free(base.schema, "gone"), clash_free(base.schema, "id_gone")
     joined = base.join(gone.select(F.col("id").alias(theirs), F.col("gone").alias(mine)), F.col(key) == F.col(theirs), "left").drop(theirs)

@@ -49,17 +49,15 @@ def pieces(text: str) -> list[tuple[list[str], int, int]]:
 def brute(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, int, str | None]]:
     first: dict[tuple, tuple[int, int]] = {}
     parts = {i: pieces(t or "") for i, t in rows}
-    runs = []
-    for i in sorted(parts):
-        for k in range(len(parts[i]) - spans.RUN + 1):
-            words = tuple(tuple(p[0]) for p in parts[i][k : k + spans.RUN])
-            if sum(map(len, words)) >= spans.MIN_WORDS:
-                runs.append((words, i, k))
-                first.setdefault(words, (i, k))
+    found = set()
+    for i, p in parts.items():
+        enough = lambda a, b, p=p: b - a >= spans.RUN and sum(len(w) for w, _, _ in p[a:b]) >= spans.MIN_WORDS
+        for a in range(len(p)):
+            found |= {(i, a, b) for b in range(a, len(p) + 1) if enough(a, b) and (not enough(a, b - 1) or not enough(a + 1, b))}
     gone: dict[int, set[int]] = {}
-    for words, i, k in runs:
-        if first[words] != (i, k):
-            gone.setdefault(i, set()).update(range(k, k + spans.RUN))
+    for words, i, a, b in sorted((tuple(tuple(w) for w, _, _ in parts[i][a:b]), i, a, b) for i, a, b in found):
+        if first.setdefault(words, (i, a)) != (i, a):
+            gone.setdefault(i, set()).update(range(a, b))
     out = {}
     for i, text in rows:
         left, at = "", 0
@@ -110,8 +108,15 @@ def test_a_passage_inside_sentences_goes_but_for_its_ends(spark):
     assert len(re.findall(r"v\d+", got[2])) < 40 and got[2].startswith("quite another beginning") and got[2].endswith("its own end")
 
 
+def test_a_passage_of_very_short_sentences_goes(spark):
+    passage = " ".join(f"W{k}!!" for k in range(55))
+    rows = [(1, "Some head. " + passage), (2, "Another head here. " + passage + " Tail.")]
+    got = {r["doc_id"]: r["text"] for r in spans.span_report(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: rows[0][1], 2: "Another head here. Tail."}
+
+
 def test_null_keys_repeats_and_clashing_columns(spark):
-    passage = "one two three four. five six seven eight. nine ten eleven twelve."
+    passage = "one two three four five six seven. eight nine ten eleven twelve thirteen. fourteen fifteen sixteen seventeen eighteen nineteen twenty."
     rows = [(None, passage, 1), (1, passage, 2), (1, passage, 2), (2, passage, 3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, gone int")
     out = spans.remove_repeats(df)
