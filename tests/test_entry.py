@@ -25,3 +25,9 @@ def test_only_the_entry_imports_the_llm_subpackage():
 def test_nothing_uses_a_local_checkpoint_or_the_rdd_api():
     sources = [p for p in ROOT.rglob("*.py") if "tests" not in p.parts]
     assert not [p for p in sources if re.search(r"\.localCheckpoint\(|\.rdd\b", p.read_text())]
+
+
+def test_public_names_are_there(spark):
+    import harvestry
+
+    assert all(getattr(harvestry, name) is not None for name in harvestry.__all__)
