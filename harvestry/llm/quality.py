@@ -159,7 +159,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 120, depth: int = 4, rate: fl
 
 
 def learn(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Forest:
-    """Trees from at most `limit` labelled rows that are not held out; only their statistics reach the driver (limit x 34 doubles)."""
+    """Trees from at most `limit` labelled rows that are not held out; only their statistics reach the driver (limit x 30 doubles)."""
     rows = F.broadcast(training_labels(labels, "quality", limit))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
