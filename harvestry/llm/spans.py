@@ -2,8 +2,8 @@
 
 A text is cut into sentences (after . ! ? or at a line end); sentences of more than 12 words are cut further before every word
 whose hash is divisible by 8, so that a repeated passage is cut alike wherever it starts in a sentence. From every
-sentence a run goes on until it has three sentences and 20 words, and to every sentence one comes from as far back as that; so a
-passage with that much is covered to both its ends. Runs are hashed and joined globally. The first occurrence of a run, by
+sentence a run goes on until it has three sentences and 20 words, and to every sentence at which none ends one comes from as far
+back as that; so a passage with that much is covered to both its ends. Runs are hashed and joined globally. The first occurrence of a run, by
 document and place, stays; sentences covered by any other occurrence go.
 """
 
@@ -66,7 +66,9 @@ def runs(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     ahead = end <= s.bounds[row + 1]
     start = np.minimum(at + 1 - RUN, np.searchsorted(total, total[1:] - MIN_WORDS, "right") - 1)
     back = start >= s.bounds[row]
-    back[back] = end[start[back]] != at[back] + 1  # else it is a run ahead as well
+    ended = np.zeros(n + 1, dtype=bool)
+    ended[end[ahead]] = True
+    back &= ~ended[1:]  # else a run ahead covers a passage to this end
     first, last, owner = np.r_[at[ahead], start[back]], np.r_[end[ahead], at[back] + 1], np.r_[row[ahead], row[back]]
     return owner, first - s.bounds[owner], last - first, range_sums(s.hash, first, last)
 
@@ -81,13 +83,14 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, at, length): first sentence and length of every occurrence of a repeated run but the run's first occurrence.
 
-    Runs are counted with map-side aggregation before any join, so a run that a third of all documents share costs a row a task.
+    Runs are counted, and their first places found, with map-side aggregation, and both are written before they are joined; so the rows of a run
+    that a third of all documents share are dealt over tasks.
     """
     kind = df.schema[key].dataType.simpleString()
     found = written(map_batches(df.select(key, text).where(F.col(key).isNotNull() & F.col(text).isNotNull()), _runs, f"run long, id {kind}, at int, length int"), "runs")
     several = written(found.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").select("run"), "repeated")
     hits = written(found.join(several, "run"), "hits")
-    first = hits.groupBy("run").agg(F.min(F.struct("id", "at")).alias("first"))
+    first = written(hits.groupBy("run").agg(F.min(F.struct("id", "at")).alias("first")), "first")
     return hits.join(first, "run").where(F.struct("id", "at") != F.col("first")).select("id", "at", "length")
 
 

@@ -52,8 +52,10 @@ def brute(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, int, str |
     found = set()
     for i, p in parts.items():
         enough = lambda a, b, p=p: b - a >= spans.RUN and sum(len(w) for w, _, _ in p[a:b]) >= spans.MIN_WORDS
-        for a in range(len(p)):
-            found |= {(i, a, b) for b in range(a, len(p) + 1) if enough(a, b) and (not enough(a, b - 1) or not enough(a + 1, b))}
+        ahead = {(a, b) for a in range(len(p)) for b in range(a, len(p) + 1) if enough(a, b) and not enough(a, b - 1)}
+        ends = {b for _, b in ahead}
+        back = {(a, b) for a in range(len(p)) for b in range(a, len(p) + 1) if b not in ends and enough(a, b) and not enough(a + 1, b)}
+        found |= {(i, a, b) for a, b in ahead | back}
     gone: dict[int, set[int]] = {}
     for words, i, a, b in sorted((tuple(tuple(w) for w, _, _ in parts[i][a:b]), i, a, b) for i, a, b in found):
         if first.setdefault(words, (i, a)) != (i, a):
