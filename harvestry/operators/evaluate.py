@@ -82,9 +82,9 @@ def packed(bins: DataFrame) -> DataFrame:
 
 
 def evaluate_selection(df: DataFrame, selection: DataFrame, normalize: bool = True, key: str = "id", vector: str = "embedding") -> DataFrame:
-    """One row with all metrics. Distances to the selection are computed once and written."""
+    """One row with all metrics. The selection's vectors and the distances to them are computed once and written."""
     vecs = vectors(df, normalize, key, vector)
-    chosen = selected_vectors(vecs, selection)
+    chosen = written(selected_vectors(vecs, selection), "chosen")
     near = written(nearest_distance(vecs, chosen), "near")
     counts = vecs.agg(F.count("*").alias("total_images")).crossJoin(chosen.agg(F.count("*").alias("selected_images")))
     counts = counts.withColumn("selection_ratio", F.try_divide("selected_images", "total_images"))
