@@ -5,6 +5,12 @@ whose hash is divisible by 8, so that a repeated passage is cut alike wherever i
 sentence a run goes on until it has three sentences and 20 words, and to every sentence at which none ends one comes from as far
 back as that; so a passage with that much is covered to both its ends. Runs are hashed and joined globally. The first occurrence of a run, by
 document and place, stays; sentences covered by any other occurrence go.
+
+A passage that starts or ends inside a sentence is found by its words. Of the hashes of 20 consecutive words every one that is the least of
+some REACH consecutive ones is a mark, so any passage of 50 words holds the same mark wherever it stands. Marks are joined globally. If all
+occurrences of a mark have the same words as far as the next mark (or the text's end) on a side, these words belong to the repeat; if not, every
+occurrence gives each run of 20 words that starts within REACH on that side, and these runs are joined too. So a passage is covered word by
+word to both its ends, whatever surrounds it, and a sentence may lose a part.
 """
 
 from __future__ import annotations
@@ -14,13 +20,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.llm.common import clash_free, map_batches, written
-from harvestry.llm.kernel import Block, blocks, range_sums, tokens
+from harvestry.llm.kernel import Block, Tokens, blocks, range_sums, tokens
+from harvestry.workdir import discard
 
 RUN, MIN_WORDS, MAX_WORDS, CUT = 3, 20, 12, 8
+#: Words of a passage that is found wherever it starts, and the hashes of MIN_WORDS words in it.
+SEEN = 50
+REACH = SEEN - MIN_WORDS + 1
 _END = np.zeros(256, dtype=bool)
 _END[list(b".!?")] = True
 
@@ -36,8 +46,8 @@ class Sentences:
     bounds: np.ndarray
 
 
-def sentences(block: Block) -> Sentences:
-    tok = tokens(block)
+def sentences(block: Block, tok: Tokens | None = None) -> Sentences:
+    tok = tok or tokens(block)
     n = len(tok.start)
     if not n:
         empty = np.zeros(0, dtype=np.int64)
@@ -80,29 +90,112 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), batch.column(0).take(pa.array(row + block.first)), pa.array(at.astype(np.int32)), pa.array(length.astype(np.int32))], names=["run", "id", "at", "length"])
 
 
-def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, at, length): first sentence and length of every occurrence of a repeated run but the run's first occurrence.
+def slide(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
+    """pick over every `width` consecutive values."""
+    have = 1
+    while have < width and len(x):
+        step = min(have, width - have)
+        x = pick(x[:-step], x[step:])
+        have += step
+    return x
+
+
+def windows(tok: Tokens) -> np.ndarray:
+    """Hash of the MIN_WORDS words from each word on; those that cross a row's end mean nothing."""
+    at = np.arange(max(0, len(tok.hash) - MIN_WORDS + 1))
+    return range_sums(tok.hash, at, at + MIN_WORDS)
+
+
+def marks(tok: Tokens) -> tuple[np.ndarray, ...]:
+    """Row, first word (within the block) and hash of every mark, the first word and the end of what lies between it and the marks beside it, and the hashes of both sides."""
+    value, row = windows(tok), tok.row
+    e = np.zeros(0, dtype=np.int64)
+    if len(row) < SEEN:
+        return e, e, e.astype(np.uint64), e, e, e.astype(np.uint64), e.astype(np.uint64)
+    least = slide(value, REACH, np.minimum)
+    least[row[: len(least)] != row[SEEN - 1 :]] = 0
+    edge = np.zeros(REACH - 1, dtype=np.uint64)
+    most = slide(np.concatenate([edge, least, edge]), REACH, np.maximum)
+    at = np.flatnonzero((most == value) & (most > 0))
+    own = row[at]
+    beside = own[1:] == own[:-1]
+    first, last = tok.bounds[own].copy(), tok.bounds[own + 1].copy()
+    first[1:][beside] = at[:-1][beside]
+    last[:-1][beside] = at[1:][beside] + MIN_WORDS
+    return own, at, value[at], first, last, range_sums(tok.hash, first, at + MIN_WORDS), range_sums(tok.hash, at, last)
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block in blocks(batch.column(1)):
+            tok = tokens(block)
+            row, at, value, first, last, left, right = marks(tok)
+            numbers = [(at - tok.bounds[row]).astype(np.int32), (at - first).astype(np.int32), (last - at).astype(np.int32), left.view(np.int64), right.view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), batch.column(0).take(pa.array(row + block.first)), *map(pa.array, numbers)], names=["run", "id", "at", "back", "ahead", "left", "right"])
+
+
+def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of MIN_WORDS words that start within REACH before or after given words."""
+    for batch in batches:
+        for block in blocks(batch.column(1)):
+            tok = tokens(block)
+            value, row = windows(tok), tok.row
+            keep = np.zeros(len(value), dtype=bool)
+            for column, steps in ((2, np.arange(1 - REACH, 0)), (3, np.arange(1, REACH))):
+                part = batch.column(column).slice(block.first, block.rows)
+                own = np.repeat(np.arange(block.rows), part.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+                at = (tok.bounds[own] + part.flatten().to_numpy(zero_copy_only=False))[:, None] + steps
+                inside = (at >= tok.bounds[own][:, None]) & (at + MIN_WORDS <= tok.bounds[own + 1][:, None])
+                keep[at[inside]] = True
+            at = np.flatnonzero(keep)
+            yield pa.RecordBatch.from_arrays([pa.array(value[at].view(np.int64)), batch.column(0).take(pa.array(row[at] + block.first)), pa.array((at - tok.bounds[row[at]]).astype(np.int32))], names=["run", "id", "at"])
+
+
+def _repeated(found: DataFrame, *more: Column) -> tuple[DataFrame, DataFrame]:
+    """Occurrences of runs that occur more than once, with the aggregates `more` of the run, and those but the run's first occurrence.
 
     Runs are counted, and their first places found, with map-side aggregation, and both are written before they are joined; so the rows of a run
-    that a third of all documents share are dealt over tasks.
+    that a third of all documents share are dealt over tasks. `found` is a written table, which is deleted once its hits are written.
     """
-    kind = df.schema[key].dataType.simpleString()
-    found = written(map_batches(df.select(key, text).where(F.col(key).isNotNull() & F.col(text).isNotNull()), _runs, f"run long, id {kind}, at int, length int"), "runs")
-    several = written(found.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").select("run"), "repeated")
+    several = written(found.groupBy("run").agg(F.count("*").alias("n"), *more).where("n > 1").drop("n"), "repeated")
     hits = written(found.join(several, "run"), "hits")
+    discard(found)
     first = written(hits.groupBy("run").agg(F.min(F.struct("id", "at")).alias("first")), "first")
-    return hits.join(first, "run").where(F.struct("id", "at") != F.col("first")).select("id", "at", "length")
+    return hits, hits.join(first, "run").where(F.struct("id", "at") != F.col("first")).drop("first")
+
+
+def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, at, length): first sentence and length of every occurrence of a repeated run but the run's first occurrence."""
+    kind = df.schema[key].dataType.simpleString()
+    found = written(map_batches(df.select(key, text).where(F.col(key).isNotNull() & F.col(text).isNotNull()), _runs, f"run long, id {kind}, at int, length int"), "runs")
+    return _repeated(found)[1].select("id", "at", "length")
+
+
+def repeated_words(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, a, b): first word and end (exclusive) of repeated words, but for first occurrences; any passage of SEEN words is covered whole."""
+    kind = df.schema[key].dataType.simpleString()
+    base = df.select(key, text).where(F.col(key).isNotNull() & F.col(text).isNotNull())
+    found = written(map_batches(base, _marks, f"run long, id {kind}, at int, back int, ahead int, left long, right long"), "marks")
+    alike = [(F.min(side) == F.max(side)).alias(f"same_{side}") for side in ("left", "right")]
+    hits, later = _repeated(found, *alike)
+    whole = later.select("id", (F.col("at") - F.when(F.col("same_left"), F.col("back")).otherwise(0)).alias("a"), (F.col("at") + F.when(F.col("same_right"), F.col("ahead")).otherwise(MIN_WORDS)).alias("b"))
+    ends = hits.where("NOT (same_left AND same_right)").groupBy("id").agg(F.collect_set(F.when(~F.col("same_left"), F.col("at"))).alias("lefts"), F.collect_set(F.when(~F.col("same_right"), F.col("at"))).alias("rights"))
+    near = base.join(written(ends, "ends"), F.col(key) == F.col("id")).select("id", F.col(text).alias("text"), "lefts", "rights")
+    _, parts = _repeated(written(map_batches(near, _beside, f"run long, id {kind}, at int"), "beside"))
+    return whole.unionByName(parts.select("id", F.col("at").alias("a"), (F.col("at") + MIN_WORDS).alias("b")))
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", counts: tuple[str, str] = ("n_sentences", "n_removed")) -> DataFrame:
-    """df with repeated sentences taken out of its text, and two columns: the sentences it had and those removed.
+    """df with repeated sentences and passages taken out of its text, and two columns: the sentences it had and those that lost words.
 
     A null text stays null, an empty one empty, both with zero sentences. Rows with a null key take no part and keep their text.
     Rows that repeat a key count as one document: a place is first in each of them or in none. Columns named as the two counts are replaced.
     """
     base = df.drop(*counts)
-    covered = repeated_spans(base, key, text).select("id", F.explode(F.sequence("at", F.col("at") + F.col("length") - 1)).alias("at"))
-    gone = written(covered.groupBy("id").agg(F.collect_set("at").alias("gone")), "gone")
+    pair = lambda a, b: F.shiftleft(F.col(a).cast("long"), 32) + b
+    whole = repeated_spans(base, key, text).select("id", pair("at", F.col("at") + F.col("length")).alias("at"), F.lit(None).cast("long").alias("words"))
+    words = repeated_words(base, key, text).select("id", F.lit(None).cast("long").alias("at"), pair("a", F.col("b")).alias("words"))
+    gone = written(whole.unionByName(words).groupBy("id").agg(F.struct(F.collect_set("at").alias("at"), F.collect_set("words").alias("words")).alias("gone")), "gone")
     mine, theirs = clash_free(base.schema, "gone"), clash_free(base.schema, "id_gone")
     joined = base.join(gone.select(F.col("id").alias(theirs), F.col("gone").alias(mine)), F.col(key) == F.col(theirs), "left").drop(theirs)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields] + [f"`{c}` int" for c in counts])
@@ -110,16 +203,28 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", count
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             place = batch.schema.get_field_index(text)
-            column, marks = batch.column(place), batch.column(batch.schema.get_field_index(mine))
+            column, dropped = batch.column(place), batch.column(batch.schema.get_field_index(mine))
             texts, had, lost = [], [], []
             for block in blocks(column):
-                s = sentences(block)
+                tok = tokens(block)
+                s = sentences(block, tok)
+                opens = np.concatenate([[0], np.cumsum(s.words)])
                 for r in range(block.rows):
-                    a, b = s.bounds[r], s.bounds[r + 1]
-                    dropped = marks[block.first + r].as_py()
-                    had.append(b - a)
-                    lost.append(len(dropped or ()))
-                    texts.append(cut(block, s, r, dropped) if dropped else column[block.first + r].as_py())
+                    had.append(s.bounds[r + 1] - s.bounds[r])
+                    marked = dropped[block.first + r]
+                    if not marked.is_valid:
+                        lost.append(0)
+                        texts.append(column[block.first + r].as_py())
+                        continue
+                    low, high = tok.bounds[r], tok.bounds[r + 1]
+                    whole, words = (marked[c].values.to_numpy(zero_copy_only=False).astype(np.int64) for c in ("at", "words"))
+                    ends = opens[np.minimum(s.bounds[r] + np.r_[whole >> 32, whole & 0xFFFFFFFF], s.bounds[r + 1])] - low  # a row that repeats a key may be shorter
+                    change = np.zeros(high - low + 1, dtype=np.int64)
+                    np.add.at(change, np.minimum(np.r_[ends[: len(whole)], words >> 32], high - low), 1)
+                    np.add.at(change, np.minimum(np.r_[ends[len(whole) :], words & 0xFFFFFFFF], high - low), -1)
+                    away = np.cumsum(change[:-1]) > 0
+                    lost.append(len(np.unique(np.searchsorted(opens, low + np.flatnonzero(away), "right"))))
+                    texts.append(cut(block, tok, r, away))
             rest = [c for k, c in enumerate(batch.columns) if batch.schema.names[k] != mine]
             rest[place] = pa.array(texts, type=pa.string())
             yield pa.RecordBatch.from_arrays([*rest, pa.array(had, pa.int32()), pa.array(lost, pa.int32())], names=[*(n for n in batch.schema.names if n != mine), *counts])
@@ -127,15 +232,15 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", count
     return map_batches(joined, run, schema)
 
 
-def cut(block: Block, s: Sentences, row: int, gone: list[int]) -> str:
-    """The row's text without the given sentences and the white space after each."""
-    low, high = block.offsets[row], block.offsets[row + 1]
-    a, b = s.bounds[row], s.bounds[row + 1]
-    parts, at = [], low
-    for k in sorted(gone):
-        parts.append(block.data[at : s.start[a + k]].tobytes())
-        at = s.start[a + k + 1] if a + k + 1 < b else high
-    parts.append(block.data[at:high].tobytes())
+def cut(block: Block, tok: Tokens, row: int, away: np.ndarray) -> str:
+    """The row's text without the marked words and the white space after each."""
+    start = np.r_[tok.start[tok.bounds[row] : tok.bounds[row + 1]], block.offsets[row + 1]]
+    turns = np.flatnonzero(np.diff(np.r_[False, away, False]))
+    parts, at = [], block.offsets[row]
+    for a, b in zip(turns[::2], turns[1::2], strict=True):
+        parts.append(block.data[at : start[a]].tobytes())
+        at = start[b]
+    parts.append(block.data[at : block.offsets[row + 1]].tobytes())
     return b"".join(parts).decode()
 
 

@@ -34,6 +34,15 @@ def clean(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that `written` gave; for when no result that is yet to be computed needs it."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(files[0])).getParent()
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, name: str, sparse: bool = False) -> DataFrame:
     """Write df as Parquet to the working folder and read it back: lineage ends here, and a lost executor costs nothing done before.
 

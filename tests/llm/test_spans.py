@@ -125,3 +125,21 @@ def test_null_keys_repeats_and_clashing_columns(spark):
     assert out.columns == ["doc_id", "text", "gone", "n_sentences", "n_removed"]
     assert sorted((r["gone"], r["text"]) for r in out.collect()) == [(1, passage), (2, passage), (2, passage), (3, "")]
     assert spans.span_report(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("stops", [True, False])
+def test_passages_inside_sentences_of_unlike_contexts_go_whole(spark, stops):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    prose = lambda n: " ".join(word() + ("." if stops and rng.random() < 0.1 else "") for _ in range(n))
+    rows, want = [], {}
+    for k in range(120):
+        passage = " ".join([word(), prose(rng.choice([49, 58, 78])), word()])
+        for copy in range(3):
+            a, b = prose(rng.randint(3, 30)) + " " + word(), word() + " " + prose(rng.randint(3, 30))
+            # the third copy is longer than the first by words that only the second shares
+            more = f"{word()} {word()} {word()}" if copy == 1 else more if copy == 2 else ""
+            rows.append((3 * k + copy, " ".join(x for x in (a, more, passage, b) if x)))
+            want[3 * k + copy] = rows[-1][1] if copy == 0 else f"{a} {more} {b}" if copy == 1 else f"{a} {b}"
+    got = {r["doc_id"]: r["text"] for r in spans.span_report(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert got == want
