@@ -6,8 +6,9 @@ and joined with those of the benchmark. A document is contaminated by an item if
 and the slots agree: along one alignment, or over all of them, each value of a slot type in the item stands for one value in the
 document, and the other way round. So a question with other numbers or names is caught, and a chance mix of windows is not.
 
-Items are read in two ways, with names as placeholders and with names as words; a text in which half of the words or more are in capitals
-shows no names and is read in the second way.
+Items and documents are read in two ways, with names as placeholders and with names as words, so that a passage in capitals or title case is
+found whatever text is around it. A text in which half of the words or more are in capitals shows no names and is read in the second way only.
+Capitals of all scripts whose case is folded open names.
 
 The benchmark's windows are broadcast as hashes only if there are at most BROADCAST_WINDOWS of them; beyond that, windows of
 the documents are joined by a shuffle.
@@ -78,18 +79,25 @@ def folded(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def canonical(block: Block, names: bool = True) -> Canonical:
-    """The block's canonical words; without `names`, capitalised words are words."""
+def canonical(block: Block) -> Canonical:
+    """The block's canonical words, with names as placeholders."""
+    return readings(block)[0]
+
+
+def readings(block: Block) -> tuple[Canonical, Canonical]:
+    """The block's canonical words in two ways: with capitalised words as names, and as words."""
     tok = tokens(block)
     data = block.data
     solid = np.flatnonzero(_ALNUM[data])
     if not len(solid) or not len(tok.start):
         e = np.zeros(0, dtype=np.int64)
-        return Canonical(e, e, e, e.astype(np.uint64), e.astype(np.uint64), np.zeros(block.rows + 1, dtype=np.int64))
+        none = Canonical(e, e, e, e.astype(np.uint64), e.astype(np.uint64), np.zeros(block.rows + 1, dtype=np.int64))
+        return none, none
     i, j = np.searchsorted(solid, tok.start), np.searchsorted(solid, tok.end)
     full = np.flatnonzero(j > i)
     start, end = solid[i[full]], solid[j[full] - 1] + 1
-    value = range_hash(folded(data), start, end)
+    low = folded(data)
+    value = range_hash(low, start, end)
     digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
     letters = np.concatenate([[0], np.cumsum(_ALNUM[data] & ~_DIGIT[data])])
     d, c = digits[end] - digits[start], letters[end] - letters[start]
@@ -99,21 +107,24 @@ def canonical(block: Block, names: bool = True) -> Canonical:
     row = tok.row[full]
     opens = np.ones(len(full), dtype=bool)
     opens[1:] = (row[1:] != row[:-1]) | _STOP[data[tok.end[full[:-1]] - 1]]
-    lead = data[start]
-    after = data[np.minimum(start + 1, len(data) - 1)]
-    upper = ((lead >= 65) & (lead <= 90)) | ((lead == 0xC3) & (after >= 0x80) & (after <= 0x9E))
-    if names:
-        small = np.concatenate([[0], np.cumsum((data >= 97) & (data <= 122))])
-        large = np.concatenate([[0], np.cumsum((data >= 65) & (data <= 90))])
-        loud, lettered = (large[end] > large[start]) & (small[end] == small[start]), c > 0
-        shouted = np.bincount(row[loud], minlength=block.rows) * 2 >= np.maximum(np.bincount(row[lettered], minlength=block.rows), 1)
-        kind[(kind == _WORD) & upper & ~opens & ~shouted[row]] = _NAME
-    unit = np.zeros(len(full), dtype=bool)
-    follows = np.flatnonzero((kind[1:] == _WORD) & (kind[:-1] == _NUMBER) & (row[1:] == row[:-1])) + 1 if len(full) > 1 else np.zeros(0, dtype=np.int64)
-    if len(follows):
-        unit[follows] = np.isin(value[follows], unit_hashes())
-    kind[unit] = _UNIT
-    return Canonical(start, end, kind, np.where(kind == _WORD, value, _PLACEHOLDER[kind]), value, np.searchsorted(full, tok.bounds))
+    after = np.minimum(start + 1, len(data) - 1)
+    upper = (low[start] != data[start]) | ((data[start] >= 0xC3) & (low[after] != data[after]))
+    small = np.concatenate([[0], np.cumsum((data >= 97) & (data <= 122))])
+    large = np.concatenate([[0], np.cumsum((data >= 65) & (data <= 90))])
+    loud, lettered = (large[end] > large[start]) & (small[end] == small[start]), c > 0
+    shouted = np.bincount(row[loud], minlength=block.rows) * 2 >= np.maximum(np.bincount(row[lettered], minlength=block.rows), 1)
+    named = kind.copy()
+    named[(kind == _WORD) & upper & ~opens & ~shouted[row]] = _NAME
+    bounds = np.searchsorted(full, tok.bounds)
+    out = []
+    for kinds in (named, kind):
+        unit = np.zeros(len(full), dtype=bool)
+        follows = np.flatnonzero((kinds[1:] == _WORD) & (kinds[:-1] == _NUMBER) & (row[1:] == row[:-1])) + 1 if len(full) > 1 else np.zeros(0, dtype=np.int64)
+        if len(follows):
+            unit[follows] = np.isin(value[follows], unit_hashes())
+        kinds[unit] = _UNIT
+        out.append(Canonical(start, end, kinds, np.where(kinds == _WORD, value, _PLACEHOLDER[kinds]), value, bounds))
+    return out[0], out[1]
 
 
 def windows(words: Canonical) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -131,7 +142,7 @@ def windows(words: Canonical) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return e, e, e, e.astype(np.uint64)
 
 
-WINDOW_COLUMNS = "w long, at int, slots array<struct<kind:int,value:long>>"
+WINDOW_COLUMNS = "w long, at int, slots array<struct<kind:int,value:long>>, readings array<int>"
 
 
 def _slots(words: Canonical, row: np.ndarray, at: np.ndarray) -> pa.Array:
@@ -145,26 +156,38 @@ def _slots(words: Canonical, row: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), flat)
 
 
-def template_windows(df: DataFrame, key: str, text: str = "text", only: np.ndarray | None = None, names: bool = True) -> DataFrame:
-    """(key, w, at, slots): every template window, or those whose hash is among `only` (sorted)."""
+def _both(words: tuple[Canonical, Canonical]) -> Iterator[tuple[Canonical, list[int], tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Words, readings, and row, place and hash of the windows that are alike in both readings, and of those that only one has."""
+    changed = np.concatenate([[0], np.cumsum(words[0].kind != words[1].kind)])
+    for k in (0, 1):
+        row, at, _, value = windows(words[k])
+        first = words[k].bounds[row] + at
+        differs = changed[first + WIDTH] != changed[first]
+        for which, own in ((~differs, [0, 1]), (differs, [k])):
+            if k == 0 or own == [1]:
+                yield words[k], own, (row[which], at[which], value[which])
+
+
+def template_windows(df: DataFrame, key: str, text: str = "text", only: np.ndarray | None = None) -> DataFrame:
+    """(key, w, at, slots, readings): every template window, or those whose hash is among `only` (sorted), and the readings (0: names, 1: words) that it is in."""
     kind = df.schema[key].dataType.simpleString()
     shared = df.sparkSession.sparkContext.broadcast(only) if only is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(1)):
-                words = canonical(block, names)
-                row, at, _, value = windows(words)
-                value = value.view(np.int64)
-                if shared is not None and len(value):
-                    known = shared.value
-                    if len(known):
-                        hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, value), len(known) - 1)] == value)
-                    else:
-                        hit = np.zeros(0, dtype=np.int64)
-                    row, at, value = row[hit], at[hit], value[hit]
-                if len(value):
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row + block.first)), pa.array(value), pa.array(at.astype(np.int32)), _slots(words, row, at)], names=[key, "w", "at", "slots"])
+                for words, own, (row, at, value) in _both(readings(block)):
+                    value = value.view(np.int64)
+                    if shared is not None and len(value):
+                        known = shared.value
+                        if len(known):
+                            hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, value), len(known) - 1)] == value)
+                        else:
+                            hit = np.zeros(0, dtype=np.int64)
+                        row, at, value = row[hit], at[hit], value[hit]
+                    if len(value):
+                        ways = pa.array([own] * len(value), pa.list_(pa.int32()))
+                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row + block.first)), pa.array(value), pa.array(at.astype(np.int32)), _slots(words, row, at), ways], names=[key, "w", "at", "slots", "readings"])
 
     return map_batches(df.select(key, text), run, f"`{key}` {kind}, {WINDOW_COLUMNS}")
 
@@ -175,8 +198,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     Rows without a key or text take no part. Items with no window (fewer than five words, or hardly a plain word) can't be found.
     """
     bench = benchmark.where(F.col("item_id").isNotNull())
-    readings = [template_windows(bench, "item_id", names=names).withColumn("reading", F.lit(k)) for k, names in enumerate((True, False))]
-    items = written(readings[0].unionByName(readings[1]), "items", sparse=True)
+    items = written(template_windows(bench, "item_id").withColumn("reading", F.explode("readings")).drop("readings"), "items", sparse=True)
     item = ["item_id", "reading"]
     sizes = items.groupBy(*item).agg(F.countDistinct("w").alias("size"))
     base = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
@@ -187,9 +209,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
         found = template_windows(base, "id", only=known)
     else:
         found = template_windows(base, "id").join(distinct, "w", "left_semi")
-    found = written(found, "windows", sparse=True)
-    pair = ["id", *item]
-    met = found.join(items.select(*item, "w", F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), "w").withColumn("shift", F.col("at") - F.col("item_at"))
+    found = written(found, "windows", sparse=True).withColumn("way", F.explode("readings")).drop("readings")
+    pair = ["id", "way", *item]
+    met = found.join(items.select(*item, "w", F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), "w").where("way <= reading").withColumn("shift", F.col("at") - F.col("item_at"))
     many = met.groupBy(*pair).agg(F.countDistinct("w").alias("n")).join(sizes, item).where(F.col("n") >= share * F.col("size"))
     met = written(met.join(many.select(*pair, "size", "n"), pair), "met")
     by_shift = [*pair, "shift"]

@@ -57,3 +57,16 @@ def test_report_and_filter(spark):
     left = decontam.drop_contaminated(docs, bench)
     assert left.columns == docs.columns and sorted(r["leaked"] for r in left.collect()) == ["b", "c"]
     assert decontam.decontamination_report(docs.limit(0), bench.limit(0)).collect() == []
+
+
+def test_a_passage_in_capitals_or_title_case_inside_a_longer_text(spark):
+    text = "some quiet words in lower case that go on and on for a while. " * 20
+    docs = [(1, text + OTHER.upper() + " " + text), (2, text + OTHER.title()), (3, text + ITEM.upper() + " " + text), (4, text + "The Quick Brown Fox Jumps Over Some Other Things Of This Kind.")]
+    assert found(spark, docs) == [(1, 2), (2, 2), (3, 1)]
+
+
+def test_names_of_other_scripts_are_placeholders(spark):
+    russian = "однажды утром старый учитель Иванов купил в магазине три яблока и отдал соседу Иванов половину, сколько осталось у него теперь"
+    greek = "ένα πρωί ο δάσκαλος Γιώργος αγόρασε τρία μήλα από την αγορά και έδωσε τα μισά στον γείτονα, πόσα έμειναν τώρα"
+    docs = [(1, "до того " + russian.replace("Иванов", "Петров") + " и потом"), (2, greek.replace("Γιώργος", "Νίκος"))]
+    assert found(spark, docs, [(1, russian), (2, greek)]) == [(1, 1), (2, 2)]
