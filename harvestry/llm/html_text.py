@@ -3,9 +3,10 @@
 html.parser turns a page into lines: a line is the text between two block boundaries, with the number of tags in it and how
 much of its text is in links. Elements that can't hold content (navigation, headers, footers, sidebars, forms, scripts, adverts,
 notices, comments; by tag, role, or a whole word of class or id) are passed over. The logarithm of the text-to-tag ratio is
-smoothed by a Gaussian and split into two clusters by a threshold that is refined as in 2-means. The lines above it vote: the
-deepest element that holds nine tenths of their text is the content region, and all its lines are kept in page order, but for
-lines of links below the threshold.
+smoothed by a Gaussian and split into two clusters by a threshold that is refined as in 2-means. The lines above it vote for the
+deepest element that holds nine tenths of their text. The content region is the article around it, else the main element; all its lines
+are kept in page order, and of a main element around the article all but lines of links below the threshold. Without either, the region grows to
+the enclosing sections and divisions as long as they add no such lines, and of it and of a whole page groups of such lines are left out.
 """
 
 from __future__ import annotations
@@ -80,6 +81,7 @@ class Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
+        self.names: list[str] = []
         self.open: list[tuple[str, bool, int]] = []
         self.regions: list[int] = []
         self.skipping = self.links = self.tags = self.linked = self.count = 0
@@ -113,6 +115,7 @@ class Lines(HTMLParser):
         if tag in REGIONS:
             region, self.count = self.count, self.count + 1
             self.regions.append(region)
+            self.names.append(tag)
         self.skipping += skipped
         self.links += tag == "a"
         self.open.append((tag, skipped, region))
@@ -170,8 +173,8 @@ def threshold(x: np.ndarray) -> float:
     return cut
 
 
-def content(lines: list[tuple[str, int, int, tuple[int, ...]]]) -> list[str]:
-    """Texts of the lines of the content region, in page order."""
+def content(lines: list[tuple[str, int, int, tuple[int, ...]]], names: list[str]) -> list[str]:
+    """Texts of the lines of the content region, in page order. names: the tags of the region elements by id."""
     if not lines:
         return []
     chars = np.array([len(t) for t, _, _, _ in lines], dtype=float)
@@ -187,7 +190,26 @@ def content(lines: list[tuple[str, int, int, tuple[int, ...]]]) -> list[str]:
         for region in lines[k][3]:
             votes[region] = votes.get(region, 0.0) + chars[k]
     inside = max((r for r, v in votes.items() if v >= SHARE * total), default=None)  # of nested elements the deepest has the highest number
-    return [t for k, (t, _, _, own) in enumerate(lines) if (inside is None or inside in own) and not (linked[k] and not ratio[k] >= cut)]
+    menu = linked & ~(ratio >= cut)
+    if inside is None:
+        return [t for k, (t, _, _, _) in enumerate(lines) if not menu[k]]
+    holds = lambda region: np.array([region in own for _, _, _, own in lines])
+    path = next(own[: own.index(inside) + 1] for _, _, _, own in lines if inside in own)
+    article = next((r for tag in ("article", "main") for r in reversed(path) if names[r] == tag), None)
+    if article is not None:
+        around = next((r for r in path if names[r] == "main"), article)
+        keep = holds(article) | holds(around) & ~menu
+    else:
+        keep = holds(inside)
+        for region in reversed(path[:-1]):
+            if names[region] in ("body", "html") or (holds(region) & ~keep & menu).any():
+                break
+            keep = holds(region)
+        beside = np.zeros(len(lines), dtype=bool)
+        beside[1:] |= menu[:-1]
+        beside[:-1] |= menu[1:]
+        keep &= ~(menu & (beside | (names[inside] in ("body", "html"))))
+    return [t for k, (t, _, _, _) in enumerate(lines) if keep[k]]
 
 
 def extract(html: str | None) -> str:
@@ -199,7 +221,7 @@ def extract(html: str | None) -> str:
         parser.feed(html[at : at + CHUNK])
     parser.close()
     parser.flush()
-    return " ".join(content(parser.lines))
+    return " ".join(content(parser.lines, parser.names))
 
 
 def extract_text(df: DataFrame, html: str = "html", out: str = "main_text") -> DataFrame:

@@ -44,3 +44,20 @@ def test_smoothing_and_threshold():
     import numpy as np
 
     assert np.allclose(smooth(np.ones(7)), 1) and abs(threshold(np.array([0, 0, 10, 10.0])) - 5) < 1e-9 and threshold(np.array([3.0, 3.0])) == 3
+
+
+MANY = f"<p>{P}</p>" * 30
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<body><article><h1>T</h1><p>The lead.</p><div class=body>{MANY}</div></article><p>{P}</p></body>", f"T The lead. {P * 30}"),
+        (f"<main><h1>T</h1><article><div><div>{MANY}</div></div><p>The end.</p></article><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></main>", f"T {P * 30}The end."),
+        (f"<article><section>{MANY}</section><section><p>A small part.</p></section></article>", f"{P * 30}A small part."),
+        (f"<body><div><h1>T</h1><div>{MANY}</div><div><p>A small part.</p></div></div><div><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></div></body>", f"T {P * 30}A small part."),
+        (f"<article>{MANY}<ul><li><a href=1>One</a></li><li><a href=2>Two</a></li></ul><p><a href=3>Source</a></p></article>", f"{P * 30}One Two Source"),
+    ],
+)
+def test_no_part_of_an_article_is_lost(html, text):
+    assert extract(html) == text.strip()
