@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.llm.common import clash_free, map_batches, written
-from harvestry.llm.kernel import LOWER, Block, blocks, mix, range_hash, tokens
+from harvestry.llm.kernel import LOWER, Block, blocks, chained, mix, range_hash, tokens
 
 WIDTH, SHARE, PLAIN = 5, 0.8, 2
 BROADCAST_WINDOWS = 1 << 20
@@ -132,12 +132,11 @@ def windows(words: Canonical) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     n = len(words.hash)
     row = np.repeat(np.arange(len(words.bounds) - 1), np.diff(words.bounds))
     if n >= WIDTH:
-        value, plain = np.zeros(n - WIDTH + 1, dtype=np.uint64), np.zeros(n - WIDTH + 1, dtype=np.int64)
+        value, plain = chained(words.hash, WIDTH), np.zeros(n - WIDTH + 1, dtype=np.int64)
         for k in range(WIDTH):
-            value = value * np.uint64(0xD6E8FEB86659FD93) + words.hash[k : n - WIDTH + 1 + k]
             plain += words.kind[k : n - WIDTH + 1 + k] == _WORD
         at = np.flatnonzero((row[: len(value)] == row[WIDTH - 1 :]) & (plain >= PLAIN))
-        return row[at], at - words.bounds[row[at]], np.full(len(at), WIDTH), mix(value[at])
+        return row[at], at - words.bounds[row[at]], np.full(len(at), WIDTH), value[at]
     e = np.zeros(0, dtype=np.int64)
     return e, e, e, e.astype(np.uint64)
 

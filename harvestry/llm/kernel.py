@@ -1,8 +1,9 @@
 """Vectorised text kernels on the bytes of Arrow string columns.
 
 A batch is cut into blocks of whole rows (about a megabyte, or one row if it is longer), and each block is handled by a
-fixed number of numpy passes; there is no Python loop over words. Hashes are polynomial over a random byte table, modulo
-2**64, with a final mix, so a word has the same hash wherever it stands.
+fixed number of numpy passes; there is no Python loop over words. Each byte of a word, and each word of a sequence, is mixed
+with its place before the sum is taken modulo 2**64, so a word has the same hash wherever it stands, and no order of two
+letters or words cancels out, as it does in a polynomial modulo 2**64.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK = 1 << 20
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
-_TABLE = np.random.default_rng(20240611).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_KEY = np.uint64(0x3C6EF372FE94F82A)
+_NEAR = 64
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -33,21 +34,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Powers:
-    """Powers of the base and of its inverse, grown to the longest block seen."""
+def _placed(code: np.ndarray) -> np.ndarray:
+    return mix(code.astype(np.uint64) * _ODD + _KEY)
 
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, dtype=np.uint64)
 
-    def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, BLOCK + 1)
-            self.up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, _BASE, dtype=np.uint64)]))
-            self.down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, _BASE_INV, dtype=np.uint64)]))
-        return self.up[:n], self.down
-
-
-_powers = _Powers()
+_BYTES = _placed(np.arange(_NEAR * 256))  # a byte at one of the first _NEAR places
+_PLACES = _placed(np.arange(1 << 12) | 1 << 40)
 
 
 @dataclass
@@ -114,20 +106,51 @@ def spans_of(keep: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.flatnonzero(first & keep), np.flatnonzero(last & keep) + 1
 
 
-def range_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of data[start:end] for each pair."""
-    up, down = _powers.to(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_TABLE[data] * up[: len(data)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start])
+def _expanded(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index and place of every element of ranges, and where each range begins among them."""
+    first = np.concatenate([[0], np.cumsum(size)])
+    place = np.arange(first[-1]) - np.repeat(first[:-1], size)
+    return np.repeat(start, size) + place, place, first
 
 
-def range_sums(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of the sequence values[start:end] for each pair."""
-    up, down = _powers.to(len(values) + 1)
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * up[: len(values)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start])
+    np.cumsum(values, out=total[1:])
+    return mix(total[first[1:]] - total[first[:-1]])
+
+
+def range_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes data[start:end] for each pair."""
+    index, place, first = _expanded(start, end - start)
+    code = place << 8 | data[index]
+    value = _BYTES[np.minimum(code, len(_BYTES) - 1)]
+    far = np.flatnonzero(place >= _NEAR)
+    value[far] = _placed(code[far])
+    return _sums(value, first)
+
+
+def sequence_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, most: int = 1 << 21) -> np.ndarray:
+    """64-bit hash of the sequence values[start:end] for each pair; ranges may overlap and are handled `most` elements (or one range) at a time."""
+    size, out, at = end - start, np.zeros(len(start), dtype=np.uint64), 0
+    total = np.cumsum(size)
+    while at < len(start):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
+        index, place, first = _expanded(start[at:to], size[at:to])
+        key = _PLACES[np.minimum(place, len(_PLACES) - 1)]
+        far = np.flatnonzero(place >= len(_PLACES))
+        key[far] = _placed(place[far] | 1 << 40)
+        out[at:to] = _sums(mix(values[index] + key), first)
+        at = to
+    return out
+
+
+def chained(h: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hash of each run of `width` values, each mixed with those before it."""
+    n = max(0, len(h) - width + 1)
+    value = np.zeros(n, dtype=np.uint64)
+    for k in range(width if n else 0):
+        value = mix(value * _ODD + h[k : n + k])
+    return value
 
 
 def tokens(block: Block, lower: bool = True) -> Tokens:
@@ -142,11 +165,9 @@ def shingles(tok: Tokens, width: int) -> tuple[np.ndarray, np.ndarray]:
     h, n = tok.hash, np.diff(tok.bounds)
     row = tok.row
     if len(h) >= width:
-        value = np.zeros(len(h) - width + 1, dtype=np.uint64)
-        for k in range(width):
-            value = value * np.uint64(0xD6E8FEB86659FD93) + h[k : len(h) - width + 1 + k]
+        value = chained(h, width)
         inside = row[: len(value)] == row[width - 1 :]
-        rows, values = row[: len(value)][inside], mix(value[inside])
+        rows, values = row[: len(value)][inside], value[inside]
     else:
         rows, values = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     short = np.flatnonzero((n > 0) & (n < width))
@@ -159,10 +180,7 @@ def shingles(tok: Tokens, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _whole(h: np.ndarray) -> np.uint64:
-    value = np.full(1, len(h), dtype=np.uint64)
-    for x in h:
-        value = value * np.uint64(0xD6E8FEB86659FD93) + x
-    return mix(value)[0]
+    return mix(chained(h, len(h)) + np.uint64(len(h)))[0]
 
 
 def sets(tok: Tokens, width: int) -> list[np.ndarray]:

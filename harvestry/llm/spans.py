@@ -1,16 +1,18 @@
 """Substring deduplication by sliding sentence spans.
 
-A text is cut into sentences (after . ! ? or at a line end); sentences of more than 12 words are cut further before every word
-whose hash is divisible by 8, so that a repeated passage is cut alike wherever it starts in a sentence. From every
-sentence a run goes on until it has three sentences and 20 words, and to every sentence at which none ends one comes from as far
-back as that; so a passage with that much is covered to both its ends. Runs are hashed and joined globally. The first occurrence of a run, by
-document and place, stays; sentences covered by any other occurrence go.
-
-A passage that starts or ends inside a sentence is found by its words. Of the hashes of 20 consecutive words every one that is the least of
-some REACH consecutive ones is a mark, so any passage of 50 words holds the same mark wherever it stands. Marks are joined globally. If all
+A text is cut into sentences (after . ! ? or at a line end). From every sentence a run goes on until it has three sentences and 20 words, and to
+every sentence at which none ends one comes from as far back as that; so a passage with that much is covered to both its ends. Runs are hashed
+and joined globally. The first occurrence of a run, by document and place, stays; sentences covered by any other occurrence go.
+
+A passage that starts or ends inside a sentence is found by its words, as its sentences alone would leave its ends, or all of it where it has
+no three whole sentences; that is why a sentence may lose a part. Of the hashes of 20 consecutive words every one that is the least of
+some REACH consecutive ones is a mark, so any passage of 50 words holds the same mark wherever it stands. Marks are joined with the runs. If all
 occurrences of a mark have the same words as far as the next mark (or the text's end) on a side, these words belong to the repeat; if not, every
 occurrence gives each run of 20 words that starts within REACH on that side, and these runs are joined too. So a passage is covered word by
-word to both its ends, whatever surrounds it, and a sentence may lose a part.
+word to both its ends, whatever surrounds it.
+
+Runs are equal if their 64-bit hashes are: words are mixed byte by byte and runs word by word, so a false repeat has a chance of 2**-64 for each
+pair of different runs, which is 2**-13 for one run among a corpus of 2**51 of them.
 """
 
 from __future__ import annotations
@@ -24,13 +26,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.llm.common import clash_free, map_batches, written
-from harvestry.llm.kernel import Block, Tokens, blocks, range_sums, tokens
+from harvestry.llm.kernel import Block, Tokens, blocks, mix, sequence_hash, tokens
 from harvestry.workdir import discard
 
-RUN, MIN_WORDS, MAX_WORDS, CUT = 3, 20, 12, 8
+RUN, MIN_WORDS = 3, 20
 #: Words of a passage that is found wherever it starts, and the hashes of MIN_WORDS words in it.
 SEEN = 50
 REACH = SEEN - MIN_WORDS + 1
+_ODD, _MARK = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x5851F42D4C957F2D)
+FOUND = ["run", "id", "at", "again", "length", "back", "ahead", "left", "right"]
 _END = np.zeros(256, dtype=bool)
 _END[list(b".!?")] = True
 
@@ -58,16 +62,13 @@ def sentences(block: Block, tok: Tokens | None = None) -> Sentences:
     lines = np.concatenate([[0], np.cumsum(block.data == 10)])
     opens[1:] |= lines[tok.start[1:]] > lines[tok.end[:-1]]
     first = np.flatnonzero(opens)
-    length = np.diff(np.r_[first, n])
-    opens |= np.repeat(length > MAX_WORDS, length) & (tok.hash % np.uint64(CUT) == 0)
-    first = np.flatnonzero(opens)
     last = np.r_[first[1:], n]
-    return Sentences(last - first, tok.start[first], tok.end[last - 1], range_sums(tok.hash, first, last), np.searchsorted(first, tok.bounds))
+    return Sentences(last - first, tok.start[first], tok.end[last - 1], sequence_hash(tok.hash, first, last), np.searchsorted(first, tok.bounds))
 
 
-def runs(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def runs(block: Block, tok: Tokens | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row, first sentence (within the row), length in sentences and hash of every run."""
-    s = sentences(block)
+    s = sentences(block, tok)
     n = len(s.hash)
     total = np.concatenate([[0], np.cumsum(s.words)])
     row = np.repeat(np.arange(block.rows), np.diff(s.bounds))
@@ -80,14 +81,7 @@ def runs(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     ended[end[ahead]] = True
     back &= ~ended[1:]  # else a run ahead covers a passage to this end
     first, last, owner = np.r_[at[ahead], start[back]], np.r_[end[ahead], at[back] + 1], np.r_[row[ahead], row[back]]
-    return owner, first - s.bounds[owner], last - first, range_sums(s.hash, first, last)
-
-
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for block in blocks(batch.column(1)):
-            row, at, length, value = runs(block)
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), batch.column(0).take(pa.array(row + block.first)), pa.array(at.astype(np.int32)), pa.array(length.astype(np.int32))], names=["run", "id", "at", "length"])
+    return owner, first - s.bounds[owner], last - first, sequence_hash(s.hash, first, last)
 
 
 def slide(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
@@ -101,9 +95,15 @@ def slide(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
 
 
 def windows(tok: Tokens) -> np.ndarray:
-    """Hash of the MIN_WORDS words from each word on; those that cross a row's end mean nothing."""
-    at = np.arange(max(0, len(tok.hash) - MIN_WORDS + 1))
-    return range_sums(tok.hash, at, at + MIN_WORDS)
+    """Hash of the MIN_WORDS words from each word on, put together from those of fewer words; those that cross a row's end mean nothing."""
+    n = max(0, len(tok.hash) - MIN_WORDS + 1)
+    own, out, have, width = tok.hash, None, 0, 1
+    while width <= MIN_WORDS:
+        if MIN_WORDS & width:
+            out = own[:n] if out is None else mix(out[:n] * _ODD + own[have : have + n])
+            have += width
+        own, width = mix(own[:-width] * _ODD + own[width:]) if len(own) > width else own[:0], 2 * width
+    return out[:n]
 
 
 def marks(tok: Tokens) -> tuple[np.ndarray, ...]:
@@ -122,16 +122,32 @@ def marks(tok: Tokens) -> tuple[np.ndarray, ...]:
     first, last = tok.bounds[own].copy(), tok.bounds[own + 1].copy()
     first[1:][beside] = at[:-1][beside]
     last[:-1][beside] = at[1:][beside] + MIN_WORDS
-    return own, at, value[at], first, last, range_sums(tok.hash, first, at + MIN_WORDS), range_sums(tok.hash, at, last)
+    return own, at, value[at], first, last, sequence_hash(tok.hash, first, at + MIN_WORDS), sequence_hash(tok.hash, at, last)
+
+
+def _again(row: np.ndarray, at: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Whether the row has the value at a lesser place, too."""
+    order = np.lexsort((at, value, row))
+    out = np.zeros(len(row), dtype=bool)
+    out[order[1:]] = (row[order[1:]] == row[order[:-1]]) & (value[order[1:]] == value[order[:-1]])
+    return out
 
 
-def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs (with a length, in sentences) and marks (with what lies beside them, and no length), in one pass over the texts."""
     for batch in batches:
         for block in blocks(batch.column(1)):
             tok = tokens(block)
+            row, at, length, value = runs(block, tok)
+            none, ids = len(row), batch.column(0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(value.view(np.int64)), ids.take(pa.array(row + block.first)), pa.array(at.astype(np.int32)), pa.array(_again(row, at, value)), pa.array(length.astype(np.int32)), pa.nulls(none, pa.int32()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int64())],
+                names=FOUND,
+            )
             row, at, value, first, last, left, right = marks(tok)
-            numbers = [(at - tok.bounds[row]).astype(np.int32), (at - first).astype(np.int32), (last - at).astype(np.int32), left.view(np.int64), right.view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), batch.column(0).take(pa.array(row + block.first)), *map(pa.array, numbers)], names=["run", "id", "at", "back", "ahead", "left", "right"])
+            numbers = [np.int32(at - tok.bounds[row]), _again(row, at, value)]
+            sides = [np.int32(at - first), np.int32(last - at), left.view(np.int64), right.view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array((value ^ _MARK).view(np.int64)), ids.take(pa.array(row + block.first)), *map(pa.array, numbers), pa.nulls(len(row), pa.int32()), *map(pa.array, sides)], names=FOUND)
 
 
 def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,53 +164,51 @@ def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 inside = (at >= tok.bounds[own][:, None]) & (at + MIN_WORDS <= tok.bounds[own + 1][:, None])
                 keep[at[inside]] = True
             at = np.flatnonzero(keep)
-            yield pa.RecordBatch.from_arrays([pa.array(value[at].view(np.int64)), batch.column(0).take(pa.array(row[at] + block.first)), pa.array((at - tok.bounds[row[at]]).astype(np.int32))], names=["run", "id", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(value[at].view(np.int64)), batch.column(0).take(pa.array(row[at] + block.first)), pa.array((at - tok.bounds[row[at]]).astype(np.int32)), pa.array(_again(row[at], at, value[at]))], names=FOUND[:4])
 
 
-def _repeated(found: DataFrame, *more: Column) -> tuple[DataFrame, DataFrame]:
-    """Occurrences of runs that occur more than once, with the aggregates `more` of the run, and those but the run's first occurrence.
+def _repeated(found: DataFrame) -> DataFrame:
+    """Occurrences of runs that occur more than once, with `later`: whether the occurrence isn't the run's first one.
 
-    Runs are counted, and their first places found, with map-side aggregation, and both are written before they are joined; so the rows of a run
-    that a third of all documents share are dealt over tasks. `found` is a written table, which is deleted once its hits are written.
+    A document's own repeats are known where its text is read, so the smallest and largest id of a run tell the rest; these are aggregated map-side
+    and written before they are joined, so the rows of a run that a third of all documents share are dealt over tasks.
+    `found` is a written table, which is deleted once its hits are written.
     """
-    several = written(found.groupBy("run").agg(F.count("*").alias("n"), *more).where("n > 1").drop("n"), "repeated")
-    hits = written(found.join(several, "run"), "hits")
+    several = found.groupBy("run").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.max("again").alias("any")).where("least < most OR any")
+    hits = found.join(written(several.select("run", "least"), "repeated"), "run").withColumn("later", F.col("again") | (F.col("id") > F.col("least")))
+    hits = written(hits.drop("least", "again"), "hits")
     discard(found)
-    first = written(hits.groupBy("run").agg(F.min(F.struct("id", "at")).alias("first")), "first")
-    return hits, hits.join(first, "run").where(F.struct("id", "at") != F.col("first")).drop("first")
-
-
-def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, at, length): first sentence and length of every occurrence of a repeated run but the run's first occurrence."""
-    kind = df.schema[key].dataType.simpleString()
-    found = written(map_batches(df.select(key, text).where(F.col(key).isNotNull() & F.col(text).isNotNull()), _runs, f"run long, id {kind}, at int, length int"), "runs")
-    return _repeated(found)[1].select("id", "at", "length")
+    return hits
 
 
-def repeated_words(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, a, b): first word and end (exclusive) of repeated words, but for first occurrences; any passage of SEEN words is covered whole."""
+def repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """All but the first occurrences: (id, at, length) of runs, by sentences, and (id, a, b) of words (end exclusive), which cover any passage of SEEN words whole."""
     kind = df.schema[key].dataType.simpleString()
     base = df.select(key, text).where(F.col(key).isNotNull() & F.col(text).isNotNull())
-    found = written(map_batches(base, _marks, f"run long, id {kind}, at int, back int, ahead int, left long, right long"), "marks")
-    alike = [(F.min(side) == F.max(side)).alias(f"same_{side}") for side in ("left", "right")]
-    hits, later = _repeated(found, *alike)
-    whole = later.select("id", (F.col("at") - F.when(F.col("same_left"), F.col("back")).otherwise(0)).alias("a"), (F.col("at") + F.when(F.col("same_right"), F.col("ahead")).otherwise(MIN_WORDS)).alias("b"))
-    ends = hits.where("NOT (same_left AND same_right)").groupBy("id").agg(F.collect_set(F.when(~F.col("same_left"), F.col("at"))).alias("lefts"), F.collect_set(F.when(~F.col("same_right"), F.col("at"))).alias("rights"))
+    hits = _repeated(written(map_batches(base, _found, f"run long, id {kind}, at int, again boolean, length int, back int, ahead int, left long, right long"), "runs"))
+    marked = hits.where("length IS NULL")
+    alike = marked.groupBy("run").agg(*((F.min(side) == F.max(side)).alias(f"same_{side}") for side in ("left", "right")))
+    marked = written(marked.join(written(alike, "alike"), "run"), "marks")
+    whole = marked.where("later").select("id", (F.col("at") - F.when(F.col("same_left"), F.col("back")).otherwise(0)).alias("a"), (F.col("at") + F.when(F.col("same_right"), F.col("ahead")).otherwise(MIN_WORDS)).alias("b"))
+    ends = marked.where("NOT (same_left AND same_right)").groupBy("id").agg(F.collect_set(F.when(~F.col("same_left"), F.col("at"))).alias("lefts"), F.collect_set(F.when(~F.col("same_right"), F.col("at"))).alias("rights"))
     near = base.join(written(ends, "ends"), F.col(key) == F.col("id")).select("id", F.col(text).alias("text"), "lefts", "rights")
-    _, parts = _repeated(written(map_batches(near, _beside, f"run long, id {kind}, at int"), "beside"))
-    return whole.unionByName(parts.select("id", F.col("at").alias("a"), (F.col("at") + MIN_WORDS).alias("b")))
+    parts = _repeated(written(map_batches(near, _beside, f"run long, id {kind}, at int, again boolean"), "beside"))
+    words = whole.unionByName(parts.where("later").select("id", F.col("at").alias("a"), (F.col("at") + MIN_WORDS).alias("b")))
+    return hits.where("later AND length IS NOT NULL").select("id", "at", "length"), words
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", counts: tuple[str, str] = ("n_sentences", "n_removed")) -> DataFrame:
     """df with repeated sentences and passages taken out of its text, and two columns: the sentences it had and those that lost words.
 
     A null text stays null, an empty one empty, both with zero sentences. Rows with a null key take no part and keep their text.
-    Rows that repeat a key count as one document: a place is first in each of them or in none. Columns named as the two counts are replaced.
+    Rows that repeat a key count as one document: a place is first in each of them or in none. Columns named as the two counts are replaced; others
+    pass through whatever their names. Texts are read whole, whatever their length; an empty table gives an empty one.
     """
     base = df.drop(*counts)
     pair = lambda a, b: F.shiftleft(F.col(a).cast("long"), 32) + b
-    whole = repeated_spans(base, key, text).select("id", pair("at", F.col("at") + F.col("length")).alias("at"), F.lit(None).cast("long").alias("words"))
-    words = repeated_words(base, key, text).select("id", F.lit(None).cast("long").alias("at"), pair("a", F.col("b")).alias("words"))
+    whole, words = repeats(base, key, text)
+    whole = whole.select("id", pair("at", F.col("at") + F.col("length")).alias("at"), F.lit(None).cast("long").alias("words"))
+    words = words.select("id", F.lit(None).cast("long").alias("at"), pair("a", F.col("b")).alias("words"))
     gone = written(whole.unionByName(words).groupBy("id").agg(F.struct(F.collect_set("at").alias("at"), F.collect_set("words").alias("words")).alias("gone")), "gone")
     mine, theirs = clash_free(base.schema, "gone"), clash_free(base.schema, "id_gone")
     joined = base.join(gone.select(F.col("id").alias(theirs), F.col("gone").alias(mine)), F.col(key) == F.col(theirs), "left").drop(theirs)

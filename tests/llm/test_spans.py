@@ -12,64 +12,58 @@ from harvestry.llm.kernel import blocks, tokens
 SCHEMA = "doc_id long, text string"
 
 
-def divisible(word: str) -> bool:
-    return int(tokens(next(blocks(pa.array([word])))).hash[0]) % spans.CUT == 0
-
-
-def pieces(text: str) -> list[tuple[list[str], int, int]]:
-    """Words, start and end of each sentence, the plain way."""
-    out: list[tuple[list[str], int, int]] = []
-    places: list[tuple[int, int]] = []
-    last = None
+def pieces(text: str) -> tuple[list[str], list[tuple[int, int]], list[int]]:
+    """Words in lower case, their places, and the first word of each sentence, the plain way."""
+    words, places, first, last = [], [], [], None
     for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
-        word = "".join(c.lower() if "A" <= c <= "Z" else c for c in m[0])
-        cut = last is None or text[last.end() - 1] in ".!?" or "\n" in text[last.end() : m.start()]
-        if cut:
-            out.append(([word], m.start(), m.end()))
-        else:
-            out[-1] = ([*out[-1][0], word], out[-1][1], m.end())
-        last = m
+        if last is None or text[last.end() - 1] in ".!?" or "\n" in text[last.end() : m.start()]:
+            first.append(len(words))
+        words.append("".join(c.lower() if "A" <= c <= "Z" else c for c in m[0]))
         places.append(m.span())
-    cuts = []
-    at = 0
-    for words, start, end in out:
-        if len(words) <= spans.MAX_WORDS:
-            cuts.append((words, start, end))
-        else:
-            for k, word in enumerate(words):
-                a, b = places[at + k]
-                if k == 0 or divisible(word):
-                    cuts.append(([word], a, b))
-                else:
-                    cuts[-1] = ([*cuts[-1][0], word], cuts[-1][1], b)
-        at += len(words)
-    return cuts
-
-
-def brute(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, int, str | None]]:
+        last = m
+    return words, places, first
+
+
+def later(found: list[tuple[tuple, int, int, int]]) -> dict[int, set[int]]:
+    """Words (by id) of all spans (words, id, a, b) but the first of each."""
     first: dict[tuple, tuple[int, int]] = {}
-    parts = {i: pieces(t or "") for i, t in rows}
-    found = set()
-    for i, p in parts.items():
-        enough = lambda a, b, p=p: b - a >= spans.RUN and sum(len(w) for w, _, _ in p[a:b]) >= spans.MIN_WORDS
-        ahead = {(a, b) for a in range(len(p)) for b in range(a, len(p) + 1) if enough(a, b) and not enough(a, b - 1)}
-        ends = {b for _, b in ahead}
-        back = {(a, b) for a in range(len(p)) for b in range(a, len(p) + 1) if b not in ends and enough(a, b) and not enough(a + 1, b)}
-        found |= {(i, a, b) for a, b in ahead | back}
-    gone: dict[int, set[int]] = {}
-    for words, i, a, b in sorted((tuple(tuple(w) for w, _, _ in parts[i][a:b]), i, a, b) for i, a, b in found):
+    out: dict[int, set[int]] = {}
+    for words, i, a, b in sorted(found):
         if first.setdefault(words, (i, a)) != (i, a):
-            gone.setdefault(i, set()).update(range(a, b))
-    out = {}
-    for i, text in rows:
-        left, at = "", 0
-        for k in sorted(gone.get(i, ())):
-            left += text[at : parts[i][k][1]]
-            at = parts[i][k + 1][1] if k + 1 < len(parts[i]) else len(text)
-        out[i] = (len(parts[i]), len(gone.get(i, ())), None if text is None else left + text[at:])
+            out.setdefault(i, set()).update(range(a, b))
     return out
 
 
+def brute(rows: list[tuple[int, str | None]]) -> tuple[dict[int, set[int]], dict[int, set[int]]]:
+    """Words that have to go (repeated runs of sentences, passages of SEEN words), and words that may go (repeats of MIN_WORDS words as well)."""
+    found, long, short = [], [], []
+    for i, text in rows:
+        words, _, first = pieces(text or "")
+        cuts, n = [*first, len(words)], len(first)
+        enough = lambda a, b, cuts=cuts: b - a >= spans.RUN and cuts[b] - cuts[a] >= spans.MIN_WORDS
+        ahead = {(a, b) for a in range(n) for b in range(a, n + 1) if enough(a, b) and not enough(a, b - 1)}
+        ends = {b for _, b in ahead}
+        back = {(a, b) for a in range(n) for b in range(a, n + 1) if b not in ends and enough(a, b) and not enough(a + 1, b)}
+        shape = lambda a, b, w=words, c=cuts: tuple(tuple(w[c[k] : c[k + 1]]) for k in range(a, b))
+        found += [(shape(a, b), i, cuts[a], cuts[b]) for a, b in ahead | back]
+        for size, into in ((spans.SEEN, long), (spans.MIN_WORDS, short)):
+            into += [(tuple(words[k : k + size]), i, k, k + size) for k in range(len(words) - size + 1)]
+    runs, must, may = later(found), later(long), later(short)
+    ids = [i for i, _ in rows]
+    return {i: runs.get(i, set()) | must.get(i, set()) for i in ids}, {i: runs.get(i, set()) | may.get(i, set()) for i in ids}
+
+
+def cut(text: str | None, gone: set[int]) -> tuple[int, int, str | None]:
+    """Sentences, those that lost words, and the text without the words and the white space after each."""
+    _, places, first = pieces(text or "")
+    touched = {max(k for k, a in enumerate(first) if a <= w) for w in gone}
+    left, at = "", 0
+    for w in sorted(gone):
+        left += (text or "")[at : places[w][0]]
+        at = places[w + 1][0] if w + 1 < len(places) else len(text or "")
+    return len(first), len(touched), None if text is None else left + text[at:]
+
+
 def sentence(rng: random.Random, most: int = 18) -> str:
     return " ".join("".join(rng.choices("abcdeé", k=4)) for _ in range(rng.randint(1, most))).capitalize() + rng.choice([". ", "! ", "?\n", ".\n\n"])
 
@@ -90,8 +84,20 @@ def test_equals_brute_force(spark):
         rows.append((i, text))
     rows += [(200, None), (201, ""), (202, " \n"), (203, rows[5][1])]
     rng.shuffle(rows)
-    got = {r["doc_id"]: (r["n_sentences"], r["n_removed"], r["text"]) for r in spans.span_report(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()}
-    assert got == brute(rows)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    runs, words = spans.repeats(df)
+    gone: dict[int, set[int]] = {i: set() for i, _ in rows}
+    texts = dict(rows)
+    for r in runs.collect():
+        _, places, first = pieces(texts[r["id"]])
+        gone[r["id"]] |= set(range(first[r["at"]], [*first, len(places)][r["at"] + r["length"]]))
+    for r in words.collect():
+        gone[r["id"]] |= set(range(r["a"], r["b"]))
+    must, may = brute(rows)
+    assert all(must[i] <= gone[i] <= may[i] for i in gone)
+    assert sum(map(len, must.values())) > 1000
+    got = {r["doc_id"]: (r["n_sentences"], r["n_removed"], r["text"]) for r in spans.span_report(df).collect()}
+    assert got == {i: cut(t, gone[i]) for i, t in rows}
 
 
 @pytest.mark.parametrize("words", [51, 60, 120])
