@@ -6,15 +6,17 @@ sensitive, so bands of registers are hashed and joined.
 
 Steps. (1) Equal sets become one class, whose node is its smallest doc_id; only classes are sketched further. (2) In each band
 bucket the smallest node leads; candidates are the distinct pairs of a leader and a member, a number linear in the buckets' rows.
-(3) Candidates are pruned by exact set sizes and by the likelihood estimate, and the rest is verified on the full texts. (4) Pairs
-of members that verified links have not yet joined are compared in full: leader pairs connect nodes to clusters, a
-cluster is cut into blocks of TILE nodes (fewer if their sets are large), and for each pair of blocks a task counts all intersections at once and returns
-only links that join components. Tiles, as these pairs are called, inside one component are left out. So no link is lost to a cap, and no pairs of a
-bucket are emitted. (5) Components come from alternating large-star and small-star steps over written edge tables; nothing of
-it reaches the driver but counts.
-
-At the threshold 0.85 a pair is missed by all 42 bands of 6 registers with a probability of 2e-9, and the estimate's
-margin of 0.12 is over five standard deviations.
+(3) Candidates are pruned by exact set sizes and by the likelihood estimate, and the rest is verified on the full texts. (4) Buckets whose
+members those links haven't all joined are compared pair by pair, by sizes and by one bit of each register, which is cheap, so only
+pairs of different components that may reach the threshold leave the step. A bucket of more than HOT members is split first: its members
+must meet again in a band of another family over the same registers, up to LEVELS times, which parts pages that only share a template; a
+bucket that no family splits is cut into blocks, and each two of its blocks meet, so none of its pairs is left out. (5) Pairs that are left are pruned by the
+likelihood estimate, and the nodes that are still in one are put into blocks of TILE; for each pair of blocks that holds such a pair a task
+counts the intersections of the full sets and returns only links that join components. No text is sent for a pair that isn't likely.
+(6) Components come from alternating large-star and small-star steps over written edge tables; nothing of it reaches the driver but counts.
+
+At the threshold 0.85 a pair is missed by all 42 bands of 6 registers of a family with a probability of 2e-9, the estimate's
+margin of 0.12 is over five standard deviations, and that of the bits is six.
 """
 
 from __future__ import annotations
@@ -30,11 +32,13 @@ from pyspark.sql import types as T
 from harvestry.llm.common import map_batches, written
 from harvestry.llm.kernel import binary_column, blocks, mix, sets, tokens
 from harvestry.operators.rank import running_total
+from harvestry.workdir import discard
 
 REGISTERS, BANDS, ROWS = 256, 42, 6
 BASE, RATE, LEVELS = 1.02, 20.0, 4094
 MARGIN = 0.12
 TILE, LONG = 512, 1024
+HOT, LEVELS, DEVIATIONS = 2048, 4, 6.0
 SLICE, CHUNK, RARE = 2048, 4096, 16
 
 _rng = np.random.default_rng(7)
@@ -63,10 +67,21 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(a, b)
 
 
-def band_keys(registers: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each band of each sketch (rows x BANDS)."""
-    r = registers[:, : BANDS * ROWS].astype(np.uint64).reshape(-1, BANDS, ROWS)
-    return mix((mix(r + np.uint64(1)) * _BAND_SALT).sum(axis=2, dtype=np.uint64))
+def band_keys(registers: np.ndarray, family: int = 0) -> np.ndarray:
+    """A 64-bit key for each band of each sketch (rows x BANDS). Families deal the registers out to bands in orders of their own."""
+    order = np.random.default_rng(family).permutation(REGISTERS) if family else np.arange(REGISTERS)
+    r = registers[:, order[: BANDS * ROWS]].astype(np.uint64).reshape(-1, BANDS, ROWS)
+    return mix((mix(r + np.uint64(1)) * _BAND_SALT).sum(axis=2, dtype=np.uint64) + np.uint64(family))
+
+
+def register_bits(registers: np.ndarray) -> np.ndarray:
+    """One bit of each register, packed (rows x REGISTERS / 8 bytes): equal registers have equal bits, different ones in half of all cases."""
+    return np.packbits((mix(registers.astype(np.uint64) + np.uint64(1)) & np.uint64(1)).astype(bool), axis=1)
+
+
+def bits_alike(least: float) -> float:
+    """The number of equal bits below which a pair of similarity `least` falls in a chance of DEVIATIONS standard deviations."""
+    return REGISTERS * (1 + least) / 2 - DEVIATIONS * np.sqrt(REGISTERS * (1 - least**2) / 4)
 
 
 def similarity(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
@@ -108,13 +123,62 @@ def _sketches(width: int):
     return run
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bands(family: int):
+    """(key, node) of all bands; the keys of a later family are bound to the bucket that a row comes from."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                registers = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+                keys = band_keys(registers, family)
+                if family:
+                    keys = mix(keys + mix(part.column(2).to_numpy().view(np.uint64))[:, None])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), part.column(0).take(pa.array(np.repeat(np.arange(part.num_rows), BANDS)))], names=["key", "node"])
+
+    return run
+
+
+def _with_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            part = batch.slice(at, 512)
-            registers = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
-            keys = band_keys(registers).ravel().view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), part.column(0).take(pa.array(np.repeat(np.arange(part.num_rows), BANDS)))], names=["key", "node"])
+        registers = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), binary_column([b.tobytes() for b in register_bits(registers)])], names=["node", "n", "bits"])
+
+
+def _meetings(percent: int):
+    """Pairs (a, b) of rows (key, node, n, bits, component), sorted by key, that share a key, lie in different components and may reach the threshold."""
+    least = bits_alike(percent / 100)
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        key, node, n, own = (table[c].to_numpy() for c in ("key", "node", "n", "component"))
+        bits = np.frombuffer(b"".join(table["bits"].to_pylist()), dtype=np.uint64).reshape(-1, REGISTERS // 64)
+        left, right, at, d = [], [], np.arange(len(key)), 0
+        while len(at):
+            d += 1
+            at = at[at + d < len(key)]
+            at = at[key[at + d] == key[at]]
+            near = at[(own[at] != own[at + d]) & (100 * np.minimum(n[at], n[at + d]) >= percent * np.maximum(n[at], n[at + d]))]
+            near = near[REGISTERS - np.bitwise_count(bits[near] ^ bits[near + d]).sum(axis=1, dtype=np.int64) >= least]
+            left.append(np.minimum(node[near], node[near + d]))
+            right.append(np.maximum(node[near], node[near + d]))
+        found = np.unique(np.column_stack([np.concatenate(left), np.concatenate(right)]), axis=0) if left else np.zeros((0, 2), dtype=np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, k], table["node"].type) for k in (0, 1)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            last = batch.column(0)[batch.num_rows - 1].as_py()
+            whole = int(np.searchsorted(batch.column(0).to_numpy(), last))  # the last bucket may go on
+            if whole:
+                yield pairs(pa.Table.from_batches([*held, batch.slice(0, whole)]))
+                held = []
+            held.append(batch.slice(whole))
+        if held:
+            yield pairs(pa.Table.from_batches(held))
+
+    return run
 
 
 def _likely(least: float):
@@ -238,18 +302,50 @@ def _labelled(nodes: DataFrame, labels: DataFrame, column: str, out: str) -> Dat
 
 
 class _Verifier:
-    def __init__(self, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> None:
-        self.nodes, self.texts, self.width, self.percent = nodes, texts, width, percent
+    def __init__(self, nodes: DataFrame, texts: DataFrame, width: int, percent: int, id_type: str) -> None:
+        self.nodes, self.texts, self.width, self.percent, self.id_type = nodes, texts, width, percent, id_type
 
-    def links(self, pairs: DataFrame, id_type: str) -> DataFrame:
-        """The pairs (a, b) whose similarity reaches the threshold: by sizes, by the estimate, and then by full sets."""
-        schema = f"a {id_type}, b {id_type}"
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose similarity may reach the threshold, by sizes and by the likelihood estimate."""
         side = lambda c: self.nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("registers").alias(f"r{c}"))
         sized = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb"))
-        likely = map_batches(sized.select("a", "b", "na", "ra", "nb", "rb"), _likely(self.percent / 100 - MARGIN), schema)
+        return map_batches(sized.select("a", "b", "na", "ra", "nb", "rb"), _likely(self.percent / 100 - MARGIN), f"a {self.id_type}, b {self.id_type}")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose similarity reaches the threshold: by sizes, by the estimate, and then by full sets."""
         text = lambda c: self.texts.select(F.col("node").alias(c), F.col("text").alias(f"t{c}"))
-        full = likely.join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb")
-        return map_batches(full, _verified(self.width, self.percent), schema)
+        full = self.likely(pairs).join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb")
+        return map_batches(full, _verified(self.width, self.percent), f"a {self.id_type}, b {self.id_type}")
+
+    def _apart(self, entries: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+        """(key, node, component, size) of the buckets that hold several components."""
+        own = written(_labelled(entries, labels, "node", "component"), f"{name}-own")
+        size = own.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key", "size")
+        return written(own.join(size, "key"), name)
+
+    def unjoined(self, buckets: DataFrame, labels: DataFrame) -> DataFrame:
+        """The likely pairs (a, b) of nodes of different components that share a bucket (key, node). Hot buckets are split by further families of bands, then by blocks."""
+        entries, cold = self._apart(buckets, labels, "apart"), []
+        for family in range(1, LEVELS + 1):
+            cold.append(entries.where(F.col("size") <= HOT))
+            hot = entries.where(F.col("size") > HOT)
+            if hot.isEmpty():
+                entries = None
+                break
+            keyed = hot.select("node", "key").join(self.nodes.select("node", "registers"), "node").select("node", "registers", "key")
+            entries = self._apart(map_batches(keyed, _bands(family), f"key long, node {self.id_type}"), labels, "apart")
+        if entries is not None:
+            cold.append(entries.where(F.col("size") <= HOT))
+            blocks_of = F.ceil(2 * F.col("size") / HOT)
+            own = entries.where(F.col("size") > HOT).withColumn("x", F.pmod(F.xxhash64("node"), blocks_of)).withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), blocks_of - 1)))
+            cold.append(own.withColumn("key", F.xxhash64("key", F.least("x", "y"), F.greatest("x", "y"))).select("key", "node", "component", "size"))
+        rows = cold[0]
+        for more in cold[1:]:
+            rows = rows.unionByName(more)
+        bits = map_batches(self.nodes.select("node", "n", "registers"), _with_bits, f"node {self.id_type}, n long, bits binary")
+        rows = rows.join(bits, "node").select("key", "node", "n", "bits", "component").repartition("key").sortWithinPartitions("key")
+        met = map_batches(rows, _meetings(self.percent), f"a {self.id_type}, b {self.id_type}").distinct()
+        return self.likely(written(met, "met", sparse=True))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -258,7 +354,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     Two texts are linked if their sets of `width`-word shingles have a Jaccard similarity of percent/100 or more (words: runs
     without ASCII white space, A-Z in lower case; a text with fewer words is one shingle). component_id is the smallest key
     that links lead to. Null, empty and wordless texts have no shingle and are their own component. A null key has a null
-    component. Rows that repeat a key count as one document that holds each of their texts.
+    component. Rows that repeat a key count as one document that holds each of their texts. Ties need no rule, as a component is named by its
+    smallest key. Very long texts and words are whole, as shingles of hashes; a row decides the memory of its block. An empty table gives an empty
+    one. Only key and text are read, so other columns can't clash. Sets are of 64-bit hashes of whole shingles, every byte mixed with its place.
     """
     id_type = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
@@ -268,29 +366,30 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     some = table.where((F.col("n") > 0) & F.col("id").isNotNull())
     classes = written(some.groupBy("d1", "d2", "n").agg(F.min("id").alias("node")), "classes")
     nodes = written(some.withColumnRenamed("id", "node").join(classes, ["d1", "d2", "n", "node"], "left_semi").select("node", "n", "registers").distinct(), "nodes")
-    bands = written(map_batches(nodes.select("node", "registers"), _bands, f"key long, node {id_type}"), "bands")
+    bands = written(map_batches(nodes.select("node", "registers"), _bands(0), f"key long, node {id_type}"), "bands")
     leaders = bands.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").select("key", "leader")
     shared = written(bands.join(leaders, "key").distinct(), "buckets")
+    discard(bands)
     wanted = written(shared.select("node").distinct().join(nodes.groupBy("node").agg(F.max("n").alias("n")), "node"), "wanted")
     texts = written(rows.where(F.col("id").isNotNull()).join(wanted, F.col("id") == F.col("node"), "left_semi").dropDuplicates().select(F.col("id").alias("node"), "text"), "texts")
-    verifier = _Verifier(nodes.join(wanted, "node", "left_semi"), texts, width, percent)
+    verifier = _Verifier(written(nodes.join(wanted, "node", "left_semi"), "sketched"), texts, width, percent, id_type)
 
     pairs = written(shared.where("node > leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    links = written(verifier.links(pairs, id_type), "links")
+    links = written(verifier.links(pairs), "links")
     labels = components(links, "labels")
 
-    placed = _labelled(_labelled(wanted, components(pairs, "clusters"), "node", "cluster"), labels, "node", "component")
-    mixed = placed.groupBy("cluster").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("cluster")
-    run = running_total(placed.join(mixed, "cluster", "left_semi"), F.greatest("n", F.lit(LONG)), "cluster", "component", "node", out="total")
-    placed = written(run.withColumn("block", F.floor((F.col("total") - 1) / (TILE * LONG)).cast("long")), "placed")  # a block of two clusters counts as two
-    parts = placed.groupBy("cluster", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    other = parts.select("cluster", F.col("block").alias("y"), F.col("lo").alias("ylo"), F.col("hi").alias("yhi"))
-    tiles = parts.withColumnRenamed("block", "x").join(other, "cluster").where("x <= y AND NOT (lo = hi AND ylo = yhi AND lo = ylo)")
-    tiles = tiles.select("cluster", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
-    members = tiles.join(placed, ["cluster", "block"]).join(texts, "node").select("cluster", "x", "y", "node", "component", "text")
-    more = written(members.groupBy("cluster", "x", "y").applyInArrow(_tile(width, percent), f"a {id_type}, b {id_type}"), "links")
+    more = written(verifier.unjoined(shared.select("key", "node"), labels), "unjoined", sparse=True)
     if not more.isEmpty():
-        labels = components(more.unionByName(labels.select(F.col("component").alias("a"), F.col("id").alias("b"))), "labels")
+        ends = more.union(more.select("b", "a")).toDF("node", "other").groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("near"))
+        placed = _labelled(ends.join(wanted, "node"), labels, "node", "component")
+        run = running_total(placed, F.greatest("n", F.lit(LONG)), "near", "component", "node", out="total")
+        placed = written(run.select("node", "component", F.floor((F.col("total") - 1) / (TILE * LONG)).cast("long").alias("block")), "placed")
+        block = lambda end, out: placed.select(F.col("node").alias(end), F.col("block").alias(out))
+        tiles = more.join(block("a", "x"), "a").join(block("b", "y"), "b").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.explode(F.array("a", "b")).alias("node")).distinct()
+        members = tiles.join(placed.select("node", "component"), "node").join(texts, "node").select("x", "y", "node", "component", "text")
+        joined = written(members.groupBy("x", "y").applyInArrow(_tile(width, percent), f"a {id_type}, b {id_type}"), "links")
+        if not joined.isEmpty():
+            labels = components(joined.unionByName(labels.select(F.col("component").alias("a"), F.col("id").alias("b"))), "labels")
 
     ids = some.select("id", "d1", "d2", "n").join(classes, ["d1", "d2", "n"]).select("id", "n", "node")
     if not some.groupBy("id").agg(F.min("d1").alias("x"), F.max("d1").alias("y"), F.min("d2").alias("z"), F.max("d2").alias("w")).where("x < y OR z < w").isEmpty():
