@@ -2,39 +2,51 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from harvestry.workdir import written
 
-def time_text(seconds: float) -> str:
-    """59.9s, 1.0m, 1.00h; rounded as the binary value is."""
-    if seconds < 60:
-        return f"{seconds:.1f}s"
-    return f"{seconds / 60:.1f}m" if seconds < 3600 else f"{seconds / 3600:.2f}h"
+_BITS = 60
 
 
-def bytes_text(size: float) -> str:
-    """Two decimals with the unit by powers of 1024, up to PB."""
-    value = float(size)
-    for unit in ("B", "KB", "MB", "GB", "TB"):
-        if value < 1024:
-            return f"{value:.2f} {unit}"
-        value /= 1024
-    return f"{value:.2f} PB"
+def fixed(x: Column, digits: int) -> Column:
+    """x with so many decimals, rounded as its binary value is (ties to even), which no decimal type of Spark does; null for null, NaN and infinity.
+
+    The fraction is taken as a whole number of 2**-60, which is exact for doubles that are large enough to be rounded up, and what it leaves over
+    after the decimals is compared with a half in whole numbers.
+    """
+    size, unit = F.abs(x.cast("double")), F.lit(1 << _BITS).cast("decimal(20,0)")
+    parts = F.floor((size - F.floor(size)) * F.lit(float(1 << _BITS))).cast("decimal(20,0)") * F.lit(10**digits).cast("decimal(4,0)")
+    rest = parts % unit
+    down = ((parts - rest) / unit).cast("long")
+    decimals = down + F.when(2 * rest > unit, 1).when(2 * rest == unit, down % 2).otherwise(0)
+    over = (decimals >= 10**digits).cast("long")
+    text = F.concat(F.when(x < 0, "-").otherwise(""), (F.floor(size) + over).cast("string"), F.lit("."), F.lpad((decimals - over * 10**digits).cast("string"), digits, "0"))
+    return F.when(size < float("inf"), text)
 
 
-@F.pandas_udf(T.StringType())
-def format_time(seconds: pd.Series) -> pd.Series:
-    """A pandas UDF, as Spark's own formatting rounds decimal ties the other way."""
-    return seconds.map(lambda s: None if pd.isna(s) else time_text(float(s)))
+#: Units of time (seconds in one, suffix, decimals), each used below the next one's size; units of size by powers of 1024.
+TIME_UNITS = ((1, "s", 1), (60, "m", 1), (3600, "h", 2))
+SIZE_UNITS = ("B", "KB", "MB", "GB", "TB", "PB")
 
 
-@F.pandas_udf(T.StringType())
-def format_bytes(size: pd.Series) -> pd.Series:
-    return size.map(lambda s: None if pd.isna(s) else bytes_text(float(s)))
+def format_time(seconds: Column) -> Column:
+    """59.9s, 1.0m, 1.00h."""
+    texts = [F.concat(fixed(seconds / size, digits), F.lit(mark)) for size, mark, digits in TIME_UNITS]
+    out = texts[-1]
+    for text, (below, _, _) in zip(texts[-2::-1], TIME_UNITS[:0:-1], strict=True):
+        out = F.when(seconds < below, text).otherwise(out)
+    return out
+
+
+def format_bytes(size: Column) -> Column:
+    """Two decimals with the unit by powers of 1024, up to PB."""
+    powers = [float(1024**k) for k in range(len(SIZE_UNITS))]
+    unit = sum(((size >= p).cast("int") for p in powers[1:]), F.lit(1))
+    pick = lambda values: F.element_at(F.array(*map(F.lit, values)), unit)
+    return F.concat(fixed(size / pick(powers), 2), F.lit(" "), pick(SIZE_UNITS))
 
 
 #: Seconds of each stage: for each item, or for each batch.
@@ -64,15 +76,25 @@ def suffix(name: Column) -> Column:
 
 
 def collision_names(df: DataFrame, path: str = "path", order: str = "rank", out: str = "target") -> DataFrame:
-    """df with a file name for each path: the first of a basename keeps it, later ones get _1, _2 and so on before the suffix.
+    """df with a distinct file name for each path: rows in order take their basename or, if it is taken, the first free one of name_1, name_2 and so on.
 
-    A numbered name can meet a literal one of another basename; the later one then gets a number more.
+    A numbered name can meet a literal one. All rows propose a name at once; of rows that propose the same one the first in order holds it, and the
+    others go on to their next number together with the rows of their basename that this pushes on, until no two rows propose the same. That
+    is what taking names one after the other gives, in as many rounds as numbered names meet literal ones, not rows. Rows alike in order and path have an order of their own.
     """
-    name = basename(F.col(path))
-    n = F.row_number().over(Window.partitionBy(name).orderBy(order, path)) - 1
-    first = df.withColumn(out, F.when(n == 0, name).otherwise(F.concat(stem(name), F.lit("_"), n.cast("string"), suffix(name))))
-    again = F.row_number().over(Window.partitionBy(out).orderBy(order, path)) - 1
-    return first.withColumn("_again", again).withColumn(out, F.when(F.col("_again") == 0, F.col(out)).otherwise(F.concat(stem(F.col(out)), F.lit("_"), F.col("_again").cast("string"), suffix(F.col(out))))).drop("_again")
+    name, k, place = (f"_{c}_{out}" for c in ("name", "k", "place"))
+    own = df.withColumn(name, basename(F.col(path)))
+    now = own.withColumn(k, F.row_number().over(Window.partitionBy(name).orderBy(order, path)) - 1).withColumn(place, F.struct(F.col(order).alias("o"), F.col(path).alias("p"), F.col(k).alias("k")))
+    while True:
+        named = now.withColumn(out, F.when(F.col(k) == 0, F.col(name)).otherwise(F.concat(stem(F.col(name)), F.lit("_"), F.col(k).cast("string"), suffix(F.col(name)))))
+        held = named.withColumn("_lost", F.col(place) > F.min(place).over(Window.partitionBy(out)))
+        held = written(held, "names")
+        if held.where("_lost").isEmpty():
+            return held.select(*df.columns, out)
+        island = F.col(k) - F.row_number().over(Window.partitionBy(name).orderBy(place))
+        first = F.min(F.when(F.col("_lost"), F.col(place))).over(Window.partitionBy(name, "_island"))
+        pushed = held.withColumn("_island", island).withColumn(k, F.col(k) + F.coalesce(F.col(place) >= first, F.lit(False)).cast("int"))
+        now = pushed.drop("_lost", "_island", out)
 
 
 def clamp_score(x: Column) -> Column:

@@ -13,10 +13,16 @@ _own: dict[str, str] = {}
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the cluster's spark.checkpoint.dir, or a temporary one where that is unset."""
+    """Folder for intermediate tables: the cluster's spark.checkpoint.dir, or a temporary one where that is unset and all tasks run in this process.
+
+    RuntimeError if it is unset on a cluster, as its machines share no folder of this one.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="harvestry-")
