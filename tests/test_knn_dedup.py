@@ -28,6 +28,78 @@ def test_nearest_equals_brute_force(spark, metric, block):
         assert np.allclose([value[r["dst_id"]] for r in mine], best)
 
 
+@pytest.mark.parametrize("place", [0, 3, 7])
+def test_odd_lengths_and_unusable_vectors_cost_no_other_row(spark, place):
+    """A vector of another length meets only its like; null and infinite numbers, NaN, null and empty vectors and null ids are left out."""
+    good = [[1.0, float(i)] for i in range(7)]
+    rows = [(i, v) for i, v in enumerate(good)]
+    rows[place:place] = [(100, [1.0, 2.0, 3.0])]
+    rows += [(200, [1.0, None]), (201, [float("nan"), 1.0]), (202, [float("inf"), 1.0]), (203, None), (204, []), (None, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>").coalesce(1)
+    got = knn.nearest(df, df, 3).collect()
+    assert {r["src_id"] for r in got} == {*range(7), 100} and [r["dst_id"] for r in got if r["src_id"] == 100] == [100]
+    assert all(sum(r["src_id"] == i for r in got) == 3 for i in range(7))
+    assert dedup.deduplicate(df, 0.9999).count() == len(rows)
+
+
+def clouds(n: int, centres: int, seed: int) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    return rng.normal(size=(centres, 24))[rng.integers(0, centres, n)] + 0.25 * rng.normal(size=(n, 24))
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_cells_find_what_they_are_fitted_for(spark, metric):
+    df = frame(spark, clouds(3000, 12, 1)).repartition(5)
+    index = knn.CellIndex.fit(df, 10, metric, cells=24)
+    asked = df.where("id % 20 = 0")
+    pairs = lambda i: {(r["src_id"], r["dst_id"]) for r in knn.nearest(asked, df, 10, metric, block=128, index=i).collect()}
+    exact, found = pairs(None), pairs(index)
+    assert len(exact & found) >= 0.9 * len(exact) and index.probes < 24
+
+
+def test_cells_of_random_vectors_probe_as_many_as_they_need(spark):
+    df = spark.read.parquet(SF.format("sf0.1")).selectExpr("vec_id AS id", "embedding")
+    index = knn.CellIndex.fit(df, 10, cells=16)
+    asked = df.where("id % 50 = 0")
+    pairs = lambda i: {(r["src_id"], r["dst_id"]) for r in knn.nearest(asked, df, 10, index=i).collect()}
+    exact = pairs(None)
+    recall = len(exact & pairs(index)) / len(exact)
+    print(f"recall {recall:.3f} with {index.probes} of 16 cells")
+    assert recall >= 0.9
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.9, 0.97])
+def test_cells_lose_no_similar_pair(spark, threshold):
+    m = clouds(600, 6, 2)
+    df = frame(spark, m).repartition(3)
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    sims = u @ u.T
+    want = {(i, j) for i in range(600) for j in range(i + 1, 600) if sims[i, j] > threshold}
+    index = knn.CellIndex.fit(df, cells=16)
+    for i in (None, index):
+        rows = knn.similar_pairs(df, threshold, block=64, index=i).collect()
+        assert {(r["src_id"], r["dst_id"]) for r in rows} == want and len(rows) == len(want)
+
+
+@pytest.mark.parametrize("indexed", [False, True])
+def test_no_cap_on_copies(spark, indexed):
+    m = np.concatenate([np.repeat(clouds(4, 4, 3), 40, axis=0), clouds(60, 5, 4)])
+    m = m[np.random.default_rng(0).permutation(len(m))]
+    df = frame(spark, m).repartition(3)
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    edges = [(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(u @ u.T > 0.9, 1)), strict=True)]
+    index = knn.CellIndex.fit(df, cells=6) if indexed else None
+    kept = {r["id"] for r in dedup.deduplicate(df, 0.9, None, index=index).collect()}
+    assert kept == set(range(len(m))) - scan(edges)
+
+
+def test_index_refuses_unlike_lengths_and_takes_empty_tables(spark):
+    df = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "id long, embedding array<double>")
+    with pytest.raises(ValueError):
+        knn.CellIndex.fit(df)
+    assert knn.nearest(df.limit(0), df.limit(0), 3, index=knn.CellIndex.fit(df.limit(0))).collect() == []
+
+
 def test_ties_go_to_the_lowest_id(spark):
     got = knn.nearest(frame(spark, [[1, 0]], 100), frame(spark, [[1, 0]] * 30).repartition(4), 5).orderBy("rank").collect()
     assert [r["dst_id"] for r in got] == [0, 1, 2, 3, 4]
@@ -42,10 +114,11 @@ def scan(edges: list[tuple[int, int]]) -> set[int]:
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_rounds_equal_the_scan(spark, seed):
+@pytest.mark.parametrize("last_edges", [0, 20, 1 << 20])
+def test_rounds_equal_the_scan(spark, seed, last_edges):
     rng = np.random.default_rng(seed)
     edges = sorted({(int(min(p)), int(max(p))) for p in rng.integers(0, 40, (70, 2)) if p[0] != p[1]})
-    got = {r["id"] for r in dedup.greedy_dropped(spark.createDataFrame(edges, "src_id long, dst_id long")).collect()}
+    got = {r["id"] for r in dedup.greedy_dropped(spark.createDataFrame(edges, "src_id long, dst_id long"), last_edges).collect()}
     assert got == scan(edges)
 
 
