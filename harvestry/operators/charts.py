@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import logging
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.functions.text import band, coverage_score, diversity_score, progress_bar, recommendations
 from harvestry.operators.evaluate import histogram, nearest_distance, pair_distances, selected_vectors, vectors
+from harvestry.operators.knn import distances
 from harvestry.operators.rank import global_rank, quantiles
 from harvestry.operators.reduce import CentredPCA
 from harvestry.operators.select import random_selection
@@ -17,16 +20,64 @@ from harvestry.workdir import written
 log = logging.getLogger(__name__)
 
 
+#: Rows of the plane that t-SNE lays out: all pairs of them are one task's.
+TSNE_ROWS = 2_000
+
+
+def tsne(m: np.ndarray, perplexity: float = 30.0, steps: int = 500, seed: int = 42) -> np.ndarray:
+    """Exact t-SNE of rows on a plane: Gaussian affinities whose entropy fits the perplexity, Student affinities in the plane, gradient steps with momentum."""
+    n = len(m)
+    if n < 3:
+        return np.column_stack([np.arange(n, dtype=float), np.zeros(n)])
+    d, goal = distances(m, m, "l2"), np.log(min(perplexity, (n - 1) / 3))
+    np.fill_diagonal(d, np.inf)
+    d -= d.min(axis=1, keepdims=True)
+    lo, hi, beta = np.zeros((n, 1)), np.full((n, 1), np.inf), np.ones((n, 1))
+    for _ in range(60):
+        w = np.exp(-d * beta)
+        p = w / w.sum(axis=1, keepdims=True)
+        entropy = -(p * np.log(np.maximum(p, 1e-300))).sum(axis=1, keepdims=True)
+        lo, hi = np.where(entropy > goal, beta, lo), np.where(entropy > goal, hi, beta)
+        beta = np.where(np.isinf(hi), beta * 2, (lo + hi) / 2)
+    p = np.maximum((p + p.T) / (2 * n), 1e-12)
+    y, speed, gain = np.random.default_rng(seed).normal(0, 1e-4, (n, 2)), np.zeros((n, 2)), np.ones((n, 2))
+    for step in range(steps):
+        q = 1 / (1 + distances(y, y, "l2"))
+        np.fill_diagonal(q, 0)
+        pull = (p * (12 if step < 100 else 1) - q / q.sum()) * q
+        slope = 4 * (pull.sum(axis=1, keepdims=True) * y - pull @ y)
+        gain = np.maximum(np.where(np.sign(slope) != np.sign(speed), gain + 0.2, gain * 0.8), 0.01)
+        speed = (0.5 if step < 250 else 0.8) * speed - max(n / 48, 50) * gain * slope
+        y = y + speed
+        y -= y.mean(axis=0)
+    return y
+
+
 def projection(df: DataFrame, selection: DataFrame, method: str = "pca", most: int = 10_000, seed: int = 42, key: str = "id", vector: str = "embedding") -> DataFrame:
-    """(id, x, y, selected) of the selection and a seeded sample of up to `most` rows, by the first two components."""
-    if method != "pca":
-        raise NotImplementedError(f"projection {method!r} needs a library that isn't there; use 'pca'")
+    """(id, x, y, selected) of the selection and a seeded sample of up to `most` rows, by the first two components (pca) or by t-SNE (tsne).
+
+    t-SNE lays out TSNE_ROWS rows at most, selected ones first, drawn by the seed. umap needs a library that isn't there: NotImplementedError.
+    """
+    if method not in ("pca", "tsne"):
+        raise NotImplementedError(f"projection {method!r} needs a library that isn't there; use 'pca' or 'tsne'")
     vecs = vectors(df, False, key, vector)
-    shown = random_selection(vecs, most, seed).select("id").union(selection.select("id")).distinct()
-    part = vecs.join(shown, "id", "left_semi")
-    flat = CentredPCA.fit(part, 2).transform(part)
     mark = selection.select("id", F.lit(True).alias("selected")).distinct()
-    return flat.join(mark, "id", "left").select("id", F.col("reduced")[0].alias("x"), F.col("reduced")[1].alias("y"), F.coalesce("selected", F.lit(False)).alias("selected"))
+    if method == "tsne":
+        chosen = random_selection(vecs.join(mark, "id", "left_semi"), TSNE_ROWS, seed).select("id")
+        rest = random_selection(vecs.join(mark, "id", "left_anti"), min(most, TSNE_ROWS), seed).select("id", (F.col("rank") + chosen.count()).alias("rank")).where(F.col("rank") <= TSNE_ROWS)
+        part = vecs.join(chosen.union(rest.select("id")), "id", "left_semi")
+
+        def lay(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("id", kind="stable")
+            y = tsne(np.stack(pdf["embedding"].to_numpy()).astype(float), seed=seed)
+            return pd.DataFrame({"id": pdf["id"].to_numpy(), "x": y[:, 0], "y": y[:, 1]})
+
+        flat = part.withColumn("g", F.lit("all")).groupBy("g").applyInPandas(lay, "id long, x double, y double")
+    else:
+        shown = random_selection(vecs, most, seed).select("id").union(selection.select("id")).distinct()
+        part = vecs.join(shown, "id", "left_semi")
+        flat = CentredPCA.fit(part, 2).transform(part).select("id", F.col("reduced")[0].alias("x"), F.col("reduced")[1].alias("y"))
+    return flat.join(mark, "id", "left").select("id", "x", "y", F.coalesce("selected", F.lit(False)).alias("selected"))
 
 
 def cdf(distances: DataFrame, column: str = "distance", key: str = "id") -> DataFrame:

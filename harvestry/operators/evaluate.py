@@ -24,12 +24,13 @@ def selected_vectors(vecs: DataFrame, selection: DataFrame) -> DataFrame:
     return vecs.join(selection.select(F.col("id").cast("long").alias("id")).distinct(), "id", "left_semi")
 
 
-def coverage(distances: DataFrame) -> DataFrame:
-    """One row of statistics of the distances to the nearest selected row; nulls if there are none."""
+def coverage(distances: DataFrame, by: str | None = None) -> DataFrame:
+    """Statistics of the distances to the nearest selected row: one row (nulls if there are none), or one for each value of `by`."""
     d = F.col("distance")
-    moments = distances.agg(F.max(d).alias("coverage_radius_max"), F.avg(d).alias("coverage_radius_mean"), F.stddev_pop(d).alias("coverage_radius_std"))
-    places = quantiles(distances, "distance", {"coverage_p25": 0.25, "coverage_p50": 0.5, "coverage_p75": 0.75, "coverage_radius_95th": 0.95})
-    return moments.crossJoin(places).select("coverage_radius_max", "coverage_radius_mean", F.col("coverage_p50").alias("coverage_radius_median"), "coverage_radius_std", "coverage_p25", "coverage_p50", "coverage_p75", "coverage_radius_95th")
+    moments = distances.groupBy(*([by] if by else [])).agg(F.max(d).alias("coverage_radius_max"), F.avg(d).alias("coverage_radius_mean"), F.stddev_pop(d).alias("coverage_radius_std"))
+    places = quantiles(distances, "distance", {"coverage_p25": 0.25, "coverage_p50": 0.5, "coverage_p75": 0.75, "coverage_radius_95th": 0.95}, by)
+    both = moments.join(places, by) if by else moments.crossJoin(places)
+    return both.select(*([by] if by else []), "coverage_radius_max", "coverage_radius_mean", F.col("coverage_p50").alias("coverage_radius_median"), "coverage_radius_std", "coverage_p25", "coverage_p50", "coverage_p75", "coverage_radius_95th")
 
 
 def pair_distances(selected: DataFrame) -> DataFrame:
@@ -54,50 +55,62 @@ def diversity_pairs(selected: DataFrame, max_pairs: int = MAX_PAIRS) -> DataFram
     return pair_distances(selected) if n * (n - 1) // 2 <= max_pairs else sampled_pairs(selected, max_pairs)
 
 
-def diversity(pairs: DataFrame) -> DataFrame:
+def diversity(pairs: DataFrame, by: str | None = None) -> DataFrame:
     d = F.col("distance")
-    return pairs.agg(F.avg(d).alias("intra_diversity_mean"), F.stddev_pop(d).alias("intra_diversity_std"), F.min(d).alias("intra_diversity_min"), F.max(d).alias("intra_diversity_max"), F.median(d).alias("intra_diversity_median"))
+    return pairs.groupBy(*([by] if by else [])).agg(F.avg(d).alias("intra_diversity_mean"), F.stddev_pop(d).alias("intra_diversity_std"), F.min(d).alias("intra_diversity_min"), F.max(d).alias("intra_diversity_max"), F.median(d).alias("intra_diversity_median"))
 
 
-def histogram(df: DataFrame, column: str = "distance", bins: int = 20) -> DataFrame:
-    """(bin, lo, hi, n): equal widths from minimum to maximum, empty bins included, the last one closed.
+def histogram(df: DataFrame, column: str = "distance", bins: int = 20, by: str | None = None) -> DataFrame:
+    """(bin, lo, hi, n): equal widths from minimum to maximum, empty bins included, the last one closed; with `by`, bins for each of its values, which must be few.
 
-    Equal values widen the range by a half on both sides. No values: no bins. Two aggregations; the second joins a row of bounds.
+    Equal values widen the range by a half on both sides. No values: no bins. Two aggregations; the second joins the bounds.
     """
-    bounds = df.agg(F.min(column).alias("a"), F.max(column).alias("b")).where("a IS NOT NULL")
+    own = df.where(F.col(column).isNotNull()).withColumn("_g", F.col(by) if by else F.lit(0))
+    bounds = own.groupBy("_g").agg(F.min(column).alias("a"), F.max(column).alias("b"))
     same = F.col("a") == F.col("b")
-    bounds = bounds.select(F.when(same, F.col("a") - 0.5).otherwise(F.col("a")).alias("a"), F.when(same, F.col("b") + 0.5).otherwise(F.col("b")).alias("b"))
+    bounds = bounds.select("_g", F.when(same, F.col("a") - 0.5).otherwise(F.col("a")).alias("a"), F.when(same, F.col("b") + 0.5).otherwise(F.col("b")).alias("b"))
     at = F.least(F.width_bucket(F.col(column), F.col("a"), F.col("b"), F.lit(bins)), F.lit(bins)).cast("int")
-    counts = df.where(F.col(column).isNotNull()).crossJoin(F.broadcast(bounds)).groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
-    step = (F.col("b") - F.col("a")) / bins
-    edges = bounds.select("a", step.alias("step"), F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
-    return edges.join(counts, "bin", "left").select("bin", (F.col("a") + (F.col("bin") - 1) * F.col("step")).alias("lo"), (F.col("a") + F.col("bin") * F.col("step")).alias("hi"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    counts = own.join(F.broadcast(bounds), "_g").groupBy("_g", at.alias("bin")).agg(F.count("*").alias("n"))
+    edges = bounds.select("_g", "a", ((F.col("b") - F.col("a")) / bins).alias("step"), F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
+    return edges.join(counts, ["_g", "bin"], "left").select(*([F.col("_g").alias(by)] if by else []), "bin", (F.col("a") + (F.col("bin") - 1) * F.col("step")).alias("lo"), (F.col("a") + F.col("bin") * F.col("step")).alias("hi"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-def packed(bins: DataFrame) -> DataFrame:
+def packed(bins: DataFrame, by: str | None = None) -> DataFrame:
     """The histogram as one struct of counts and edges."""
     rows = F.array_sort(F.collect_list(F.struct("bin", "lo", "hi", "n")))
     edges = F.concat(F.transform(rows, lambda r: r["lo"]), F.slice(F.transform(rows, lambda r: r["hi"]), -1, 1))
-    return bins.agg(F.when(F.count("*") > 0, F.struct(F.transform(rows, lambda r: r["n"]).alias("histogram_counts"), edges.alias("histogram_edges"))).alias("distance_distribution"))
-
-
-def evaluate_selection(df: DataFrame, selection: DataFrame, normalize: bool = True, key: str = "id", vector: str = "embedding") -> DataFrame:
-    """One row with all metrics. The selection's vectors and the distances to them are computed once and written."""
-    vecs = vectors(df, normalize, key, vector)
-    chosen = written(selected_vectors(vecs, selection), "chosen")
-    near = written(nearest_distance(vecs, chosen), "near")
-    counts = vecs.agg(F.count("*").alias("total_images")).crossJoin(chosen.agg(F.count("*").alias("selected_images")))
-    counts = counts.withColumn("selection_ratio", F.try_divide("selected_images", "total_images"))
-    return counts.crossJoin(coverage(near)).crossJoin(diversity(diversity_pairs(chosen))).crossJoin(packed(histogram(near)))
+    return bins.groupBy(*([by] if by else [])).agg(F.when(F.count("*") > 0, F.struct(F.transform(rows, lambda r: r["n"]).alias("histogram_counts"), edges.alias("histogram_edges"))).alias("distance_distribution"))
 
 
 def compare_selections(df: DataFrame, selections: dict[str, DataFrame], normalize: bool = True, key: str = "id", vector: str = "embedding") -> DataFrame:
-    """A row of metrics for each method."""
-    out = None
+    """A row of metrics for each method, all in one pass: one search for the nearest selected rows of every method, one ranking, one histogram.
+
+    The selections' vectors and the distances to them are computed once and written. A method that selects nothing has null metrics.
+    """
+    spark, vecs = df.sparkSession, vectors(df, normalize, key, vector)
+    chosen = None
     for name, selection in selections.items():
-        row = evaluate_selection(df, selection, normalize, key, vector).select(F.lit(name).alias("method"), "*")
-        out = row if out is None else out.unionByName(row)
-    return out
+        own = selected_vectors(vecs, selection).withColumn("grp", F.lit(name))
+        chosen = own if chosen is None else chosen.unionByName(own)
+    if chosen is None:
+        raise ValueError("no selection")
+    chosen = written(chosen, "chosen")
+    near = written(nearest_distance(vecs, chosen, group="grp"), "near")
+    pairs = None
+    for name in selections:
+        own = diversity_pairs(chosen.where(F.col("grp") == name)).withColumn("grp", F.lit(name))
+        pairs = own if pairs is None else pairs.unionByName(own)
+    methods = spark.createDataFrame([(k, name) for k, name in enumerate(selections)], "place int, grp string")
+    counts = methods.join(chosen.groupBy("grp").agg(F.count("*").alias("selected_images")), "grp", "left").crossJoin(vecs.agg(F.count("*").alias("total_images")))
+    counts = counts.select("place", "grp", "total_images", F.coalesce("selected_images", F.lit(0)).cast("long").alias("selected_images")).withColumn("selection_ratio", F.try_divide("selected_images", "total_images"))
+    for part in (coverage(near, "grp"), diversity(pairs, "grp"), packed(histogram(near, by="grp"), "grp")):
+        counts = counts.join(part, "grp", "left")
+    return counts.orderBy("place").drop("place").withColumnRenamed("grp", "method")
+
+
+def evaluate_selection(df: DataFrame, selection: DataFrame, normalize: bool = True, key: str = "id", vector: str = "embedding") -> DataFrame:
+    """One row with all metrics."""
+    return compare_selections(df, {"": selection}, normalize, key, vector).drop("method")
 
 
 def validate_selection(df: DataFrame, selection: DataFrame, key: str = "id") -> None:

@@ -27,12 +27,14 @@ def global_rank(df: DataFrame, *order: str, out: str = "rank") -> DataFrame:
     return running_total(df, F.lit(1), *order, out=out)
 
 
-def quantiles(df: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
-    """One row with exact quantiles by name, interpolated linearly between neighbours; nulls for no values."""
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("x"), F.xxhash64(*df.columns).alias("tie"))
-    ranked = global_rank(values, "x", "tie", out="place")
-    ranked = ranked.crossJoin(F.broadcast(ranked.agg(F.count("*").alias("total"))))
+def quantiles(df: DataFrame, column: str, shares: dict[str, float], by: str | None = None) -> DataFrame:
+    """Exact quantiles by name, interpolated linearly between neighbours: one row (nulls for no values), or one row for each value of `by`, whose values must be few."""
+    group = F.col(by) if by else F.lit(0)
+    values = df.where(F.col(column).isNotNull()).select(group.alias("g"), F.col(column).alias("x"), F.xxhash64(*df.columns).alias("tie"))
+    ranked = global_rank(values, "g", "x", "tie", out="place")
+    ends = ranked.groupBy("g").agg(F.min("place").alias("first"), F.count("*").alias("total"))
+    ranked = ranked.join(F.broadcast(ends), "g").withColumn("place", F.col("place") - F.col("first") + 1)
     at = lambda p: (F.col("total") - 1) * F.lit(p)
     picked = [c for name, p in shares.items() for c in (F.max(F.when(F.col("place") == F.floor(at(p)) + 1, F.col("x"))).alias(f"_{name}_lo"), F.max(F.when(F.col("place") == F.ceil(at(p)) + 1, F.col("x"))).alias(f"_{name}_hi"))]
-    row = ranked.agg(*picked, F.max("total").alias("total"))
-    return row.select(*((F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * (at(p) - F.floor(at(p)))).alias(n) for n, p in shares.items()))
+    row = (ranked.groupBy(F.col("g").alias(by)) if by else ranked).agg(*picked, F.max("total").alias("total"))
+    return row.select(*([by] if by else []), *((F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * (at(p) - F.floor(at(p)))).alias(n) for n, p in shares.items()))

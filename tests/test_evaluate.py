@@ -73,10 +73,33 @@ def test_charts(spark, table):
     assert made["selection"].where("selected").count() == 20 and made["coverage_cdf"].agg({"share": "max"}).first()[0] == 1.0
     assert "selection" not in charts.all_charts(table, pick, metrics, "umap")
     with pytest.raises(NotImplementedError):
-        charts.projection(table, pick, "tsne")
+        charts.projection(table, pick, "umap")
     assert charts.projection(table, pick, most=50).count() <= 70
 
 
+def test_tsne_keeps_clouds_apart(spark, monkeypatch):
+    monkeypatch.setattr(charts, "TSNE_ROWS", 80)
+    rng = np.random.default_rng(5)
+    m = np.concatenate([rng.normal(c, 0.2, (40, 6)) for c in (0, 4, 8)])
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(m)], "id long, embedding array<double>")
+    pick = spark.createDataFrame([(1, 0), (2, 50), (3, 100)], "rank int, id long")
+    rows = charts.projection(df, pick, "tsne").collect()
+    assert len(rows) == 80 and sum(r["selected"] for r in rows) == 3
+    y, cloud = np.array([(r["x"], r["y"]) for r in rows]), np.array([r["id"] // 40 for r in rows])
+    d = np.linalg.norm(y[:, None] - y[None], axis=2) + np.eye(len(y)) * 1e9
+    assert (cloud[d.argmin(axis=1)] == cloud).all()
+
+
+def test_comparison_is_each_methods_own_metrics(spark, table):
+    picks = {"a": chosen(spark, FPS), "none": chosen(spark, FPS[:1]).limit(0), "b": chosen(spark, FPS[:3])}
+    rows = {r["method"]: r.asDict(recursive=True) for r in evaluate.compare_selections(table, picks).collect()}
+    assert list(rows) == ["a", "none", "b"] and rows["none"]["selected_images"] == 0 and rows["none"]["coverage_radius_max"] is None
+    for name in ("a", "b"):
+        alone = evaluate.evaluate_selection(table, picks[name]).first().asDict(recursive=True)
+        assert all(rows[name][k] == v or abs(rows[name][k] - v) < 1e-9 for k, v in alone.items() if not isinstance(v, dict))
+        assert rows[name]["distance_distribution"] == alone["distance_distribution"]
+
+
 def test_pca_is_centred(spark):
     rng = np.random.default_rng(3)
     m = rng.normal(size=(80, 5)) * [5, 4, 3, 2, 1] + 100

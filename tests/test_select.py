@@ -96,6 +96,39 @@ def test_kmeans_and_spectral_separate_clouds(spark):
     assert len(ids(select.kmeans_selection(frame(spark, m), 10, top_up=True))) == 10
 
 
+@pytest.mark.parametrize("candidates", [2, 7, 1000])
+@pytest.mark.parametrize("anchored", [False, True])
+def test_rounds_are_the_picks_of_one_task(spark, candidates, anchored, monkeypatch):
+    m = np.random.default_rng(7).integers(0, 6, (150, 3)).astype(float)  # many ties and repeats
+    df = frame(spark, m).repartition(4)
+    anchors = frame(spark, [[0.0, 0.0, 5.0], [3.0, 3.0, 3.0]]) if anchored else None
+    want = ids(select.fps_selection(df, 25, anchors=anchors))
+    own = select._rounds
+    monkeypatch.setattr(select, "_rounds", lambda df, k, first: own(df, k, first, candidates))
+    assert ids(select.fps_selection(df, 25, anchors=anchors, task_numbers=0)) == want
+
+
+def test_large_clusters_are_worked_off_in_rounds(spark):
+    df = frame(spark, np.random.default_rng(0).normal(size=(60, 3))).selectExpr("*", "IF(id < 40, 0, id % 5) AS cluster")
+    assert ids(select.hybrid_from_clusters(df, 20, 5, task_numbers=60)) == ids(select.hybrid_from_clusters(df, 20, 5))
+
+
+def test_unusable_vectors_are_not_picked(spark):
+    df = spark.createDataFrame([(0, None), (1, [float("nan"), 1.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (None, [5.0, 5.0])], "id long, embedding array<double>")
+    assert ids(select.fps_selection(df, 9)) == [2, 3]
+    assert set(ids(select.kmeans_selection(df, 2))) == {2, 3}
+
+
+def test_kmeans_is_lloyds(spark):
+    m = np.random.default_rng(3).normal(size=(200, 5))
+    df = frame(spark, m).repartition(6)
+    labelled, held = select.kmeans_clusters(df, 7)
+    centres = np.array([r["center"] for r in held.orderBy("cluster").collect()])
+    cell = np.array([r["cluster"] for r in labelled.orderBy("id").collect()])
+    assert (cell == ((m[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)).all()
+    assert np.allclose(centres, [m[cell == c].mean(axis=0) for c in range(7)])
+
+
 def test_core_set_covers_within_four_times_the_best(spark):
     m = np.random.default_rng(2).normal(size=(400, 4))
     df = frame(spark, m).repartition(7)
