@@ -1,19 +1,24 @@
-"""Command line: `python -m harvestry.plans.cli curate|evaluate|compare|filter ...`."""
+"""Command line: `python -m harvestry.plans.cli run|curate|evaluate|compare|filter ...`."""
 
 from __future__ import annotations
 
 import argparse
 import logging
 import sys
+from collections.abc import Callable
+from functools import partial
+from importlib import import_module
+from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession
 
 from harvestry.operators import charts
+from harvestry.operators.encode import Encoder
 from harvestry.operators.evaluate import compare_selections, evaluate_selection, validate_selection
 from harvestry.operators.quality import Thresholds, filter_images
 from harvestry.operators.select import METHODS, select_diverse
 from harvestry.plans.config import Config, load_config
-from harvestry.plans.pipeline import curate
+from harvestry.plans.pipeline import curate, run_pipeline
 from harvestry.sources import files, sinks
 
 log = logging.getLogger("harvestry")
@@ -22,15 +27,22 @@ log = logging.getLogger("harvestry")
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="harvestry")
     sub = p.add_subparsers(dest="command", required=True)
+    r = sub.add_parser("run", help="all stages, from a folder of images to a selection")
+    r.add_argument("--image-dir")
+    r.add_argument("--skip-quality-filter", action="store_true")
+    r.add_argument("--device", choices=("cuda", "cpu"), help="handed to the encoder")
+    r.add_argument("--encoder", default="harvestry.operators.encode:pixel_statistics", help="module:function that makes an encoder; it gets the configuration if it takes an argument")
+    r.add_argument("--resume", action="store_true")
     c = sub.add_parser("curate", help="reduce, deduplicate, select and evaluate a table (id, embedding, ...)")
     c.add_argument("embeddings")
-    c.add_argument("--config")
-    c.add_argument("--output-dir")
-    c.add_argument("--n-select", type=int)
-    c.add_argument("--method", choices=METHODS)
-    c.add_argument("--batch-size", type=int)
-    c.add_argument("--skip-deduplication", action="store_true")
-    c.add_argument("--visualization-method", choices=("tsne", "umap", "pca"))
+    for p_ in (r, c):
+        p_.add_argument("--config")
+        p_.add_argument("--output-dir")
+        p_.add_argument("--n-select", type=int)
+        p_.add_argument("--method", choices=METHODS)
+        p_.add_argument("--batch-size", type=int)
+        p_.add_argument("--skip-deduplication", action="store_true")
+        p_.add_argument("--visualization-method", choices=("tsne", "umap", "pca"))
     e = sub.add_parser("evaluate", help="metrics and charts of what curate has left")
     e.add_argument("output_dir")
     e.add_argument("--viz-dir")
@@ -51,15 +63,25 @@ def overrides(args: argparse.Namespace) -> dict:
     """Command-line values as nested configuration; what isn't given stays out."""
     out = {
         "output": {"output_dir": args.output_dir},
-        "hardware": {"batch_size": args.batch_size},
+        "hardware": {"batch_size": args.batch_size, "device": getattr(args, "device", None)},
+        "input": {"image_dir": getattr(args, "image_dir", None)},
         "diversity_selection": {"n_select": args.n_select, "method": args.method},
         "evaluation": {"visualization_method": args.visualization_method},
     }
     if args.skip_deduplication:
         out["deduplication"] = {"enabled": False}
+    if getattr(args, "skip_quality_filter", False):
+        out["quality_filter"] = {"enabled": False}
     return out
 
 
+def encoder_maker(name: str, config: Config) -> Callable[[], Encoder]:
+    """What makes the encoder named module:function in each worker."""
+    module, _, function = name.partition(":")
+    make = getattr(import_module(module), function)
+    return partial(make, config) if signature(make).parameters else make
+
+
 def setup_logging(config: Config) -> None:
     handlers: list[logging.Handler] = [logging.StreamHandler(sys.stderr)]
     if config.logging.log_file:
@@ -92,7 +114,12 @@ def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName("harvestry").getOrCreate()
     try:
-        if args.command == "curate":
+        if args.command == "run":
+            config = load_config(args.config, overrides(args))
+            setup_logging(config)
+            log.info("%s", system_info(spark))
+            run_pipeline(spark, config, encoder_maker(args.encoder, config), resume=args.resume)
+        elif args.command == "curate":
             config = load_config(args.config, overrides(args))
             setup_logging(config)
             log.info("%s", system_info(spark))

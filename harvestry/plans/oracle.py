@@ -1,8 +1,8 @@
-"""DuckDB SQL of the queries. Selections that a random draw or an iterative fit decides (k-means, core-set, spectral) have none."""
+"""DuckDB SQL of the queries. Where partitions or a library's random draws decide a selection (core-set, spectral), the query and its SQL tell what must hold of it."""
 
 from __future__ import annotations
 
-from harvestry.plans.queries import COVERAGE, DIVERSITY, PICKS, SEED, SELECTED, THRESHOLD
+from harvestry.plans.queries import COVERAGE, DIVERSITY, PICKS, ROUNDS, SEED, SELECTED, THRESHOLD
 
 E = "e AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, label FROM embeddings)"
 U = "u AS (SELECT id, CASE WHEN list_inner_product(v, v) = 0 THEN v ELSE list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) END AS v FROM e)"
@@ -45,6 +45,44 @@ def greedy(source: str) -> str:
     SELECT id FROM {source} WHERE id NOT IN (SELECT unnest(gone) FROM (SELECT gone FROM scan ORDER BY k DESC LIMIT 1))"""
 
 
+def lloyd_cte(name: str, k: int, steps: int) -> str:
+    """Centers (c, v) after so many rounds of k-means from k rows drawn by MD5."""
+    return f"""{random_cte('init', k)}, {name}_r(step, c, v) AS (SELECT 0, init.rank - 1, e.v FROM init JOIN e USING (id)
+      UNION ALL SELECT r.step + 1, r.c, coalesce(n.v, r.v) FROM {name}_r r LEFT JOIN (
+        SELECT c, list(m ORDER BY i) AS v FROM (SELECT a.c, t.i, avg(e.v[t.i]) AS m FROM (SELECT e.id, arg_min(q.c, [list_distance(e.v, q.v), q.c]) AS c FROM e, {name}_r q GROUP BY e.id) a
+        JOIN e USING (id), range(1, 65) t(i) GROUP BY a.c, t.i) GROUP BY c) n USING (c) WHERE r.step < {steps}),
+    {name} AS MATERIALIZED (SELECT c, v FROM {name}_r WHERE step = {steps})"""
+
+
+def pca_cte(k: int, source: str = "e", squarings: int = 16) -> str:
+    """Unit vectors top1.. (i, v) and eigenvalues val1.. (l) of the covariance cov0 of source (id, v), and z (id, i, z), the centred rows.
+
+    A power of the covariance by repeated squaring is as good as the projection on its first eigenvector, which is then taken out of it.
+    """
+    out = [
+        f"x AS MATERIALIZED (SELECT id, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i FROM {source})",
+        "z AS MATERIALIZED (SELECT id, i, x - avg(x) OVER (PARTITION BY i) AS z FROM x)",
+        f"cov0 AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.z * b.z) / ((SELECT count(*) FROM {source}) - 1) AS x FROM z a JOIN z b USING (id) GROUP BY a.i, b.i)",
+    ]
+    for n in range(1, k + 1):
+        out += [
+            f"""sq{n}(step, i, j, x) AS (SELECT 0, i, j, x / (SELECT sum(x) FROM cov{n - 1} WHERE i = j) FROM cov{n - 1} UNION ALL
+      SELECT step, i, j, x / sum(x) FILTER (i = j) OVER () FROM (SELECT a.step + 1 AS step, a.i, b.j, sum(a.x * b.x) AS x FROM sq{n} a JOIN sq{n} b ON a.j = b.i WHERE a.step < {squarings} GROUP BY a.step, a.i, b.j))""",
+            f"top{n} AS MATERIALIZED (SELECT i, x / sqrt(sum(x * x) OVER ()) AS v FROM sq{n} WHERE step = {squarings} AND j = (SELECT i FROM sq{n} WHERE step = {squarings} AND i = j ORDER BY x DESC, i LIMIT 1))",
+            f"val{n} AS MATERIALIZED (SELECT sum(a.v * c.x * b.v) AS l FROM cov{n - 1} c JOIN top{n} a ON a.i = c.i JOIN top{n} b ON b.i = c.j)",
+            f"cov{n} AS MATERIALIZED (SELECT c.i, c.j, c.x - (SELECT l FROM val{n}) * a.v * b.v AS x FROM cov{n - 1} c JOIN top{n} a ON a.i = c.i JOIN top{n} b ON b.i = c.j)",
+        ]
+    return ", ".join(out)
+
+
+def projected(n: int) -> str:
+    return f"(SELECT id, round(abs(sum(z * v)), 6) AS p{n} FROM z JOIN top{n} USING (i) GROUP BY id)"
+
+
+#: Bytes of the pictures' pixels by row, column and channel, for places 0 .. 191 of their data.
+PIXELS = "g AS MATERIALIZED (SELECT p_partkey AS id, t.y, t.x, round_even(list_sum(list_transform([0.114::DOUBLE, 0.587::DOUBLE, 0.299::DOUBLE], lambda w, c: w * ((7 * p_partkey + pow((t.y * 8 + t.x) * 3 + c - 1, 2)::BIGINT) % 251))), 0) AS v FROM part, (SELECT unnest(range(0, 8)) AS y) a, (SELECT unnest(range(0, 8)) AS x) b, LATERAL (SELECT a.y, b.x) t)"
+
+
 def near_cte(selection: str, vectors: str = "u", name: str = "near") -> str:
     return f"{name} AS (SELECT a.id, min(list_distance(a.v, b.v)) AS distance FROM {vectors} a, (SELECT x.id, x.v FROM {vectors} x JOIN {selection} USING (id)) b GROUP BY a.id)"
 
@@ -106,6 +144,14 @@ def _hybrid() -> str:
     SELECT id FROM picks UNION ALL SELECT id FROM more"""
 
 
+def _hybrid_kmeans() -> str:
+    """Ten clusters by k-means, two farthest points of each, and as many more as are missing."""
+    return f"""{WITH}, {lloyd_cte('km', 10, ROUNDS)}, lab AS MATERIALIZED (SELECT e.id, any_value(e.v) AS v, arg_min(km.c, [list_distance(e.v, km.v), km.c]) AS label FROM e, km GROUP BY e.id),
+    f AS (SELECT label, min(id) AS id FROM lab GROUP BY label), s AS (SELECT lab.label, arg_max(lab.id, [list_distance(lab.v, x.v), -lab.id]) AS id FROM lab JOIN f USING (label) JOIN lab x ON x.id = f.id WHERE lab.id <> f.id GROUP BY lab.label),
+    picks AS (SELECT id FROM f UNION SELECT id FROM s), {anchored_cte('more', 'e', 'picks', PICKS)}, n AS (SELECT count(*) AS n FROM picks)
+    SELECT row_number() OVER (ORDER BY id) AS rank, id FROM picks UNION ALL SELECT rank + n, id FROM more, n WHERE rank + n <= {PICKS}"""
+
+
 def _funnel() -> str:
     stages = {"long": "n_chars >= 256", "english": "lang = 'en'", "good": "quality = 1", "harmless": "toxic = 0"}
     parts, before = [], "true"
@@ -118,8 +164,8 @@ def _funnel() -> str:
 
 SQL: dict[str, str] = {
     "vec_l2_normalize": f"WITH {E}, {U} SELECT id, round(v[1], 6) AS first, round(v[len(v)], 6) AS last, round(sqrt(list_inner_product(e.v, e.v)), 6) AS norm FROM u JOIN e USING (id)".replace("round(v[1]", "round(u.v[1]").replace("round(v[len(v)]", "round(u.v[len(u.v)]"),
-    "vec_pair_cosine": f"WITH {E}, {random_cte('rnd', SELECTED)}, s AS (SELECT e.id, e.v FROM e JOIN rnd USING (id)) SELECT a.id AS i, b.id AS j, round(list_cosine_similarity(a.v, b.v), 6) AS value FROM s a JOIN s b ON a.id < b.id",
-    "vec_pair_l2": f"WITH {E}, {random_cte('rnd', SELECTED)}, s AS (SELECT e.id, e.v FROM e JOIN rnd USING (id)) SELECT a.id AS i, b.id AS j, round(list_distance(a.v, b.v), 6) AS value FROM s a JOIN s b ON a.id < b.id",
+    "vec_pair_cosine": f"WITH {E} SELECT a.id AS i, b.id AS j, round(list_cosine_similarity(a.v, b.v), 6) AS value FROM e a JOIN e b ON a.id <> b.id WHERE a.id % 50 = 0",
+    "vec_pair_l2": f"WITH {E} SELECT a.id AS i, b.id AS j, round(list_distance(a.v, b.v), 6) AS value FROM e a JOIN e b ON a.id <> b.id WHERE a.id % 50 = 0",
     "vec_concat": f"WITH {E} SELECT id, 2 * len(v) AS n, round(sqrt(2 * list_inner_product(v, v)), 6) AS norm FROM e",
     "content_score": f"""WITH {E}, p AS (SELECT id, [{', '.join(f'exp(list_inner_product(v, {x}::DOUBLE[]))' for x in PROMPTS)}] AS w FROM e)
     SELECT id, round(greatest(w[1], w[2]) / list_sum(w), 6) AS score FROM p""",
@@ -137,8 +183,26 @@ SQL: dict[str, str] = {
     "select_incremental": f"{WITH}, {random_cte('rnd', 5)}, rest AS (SELECT id, v FROM e WHERE id NOT IN (SELECT id FROM rnd)), {fps_cte('more', 'rest', 10)} SELECT rank, id FROM rnd UNION ALL SELECT rank + 5, id FROM more",
     "anti_unselected": f"WITH {E}, {random_cte('rnd', SELECTED)} SELECT id FROM e WHERE id NOT IN (SELECT id FROM rnd)",
     "union_selection": f"WITH {E}, {random_cte('rnd', SELECTED)}, {random_cte('few', PICKS)} SELECT id FROM rnd UNION SELECT id FROM few",
-    "pca_reduce": f"""WITH {E}, x AS (SELECT id, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i FROM e), m AS (SELECT i, avg(x) AS m FROM x GROUP BY i)
-    SELECT id, round(sum((x - m) * (x - m)), 6) AS squared_norm FROM x JOIN m USING (i) GROUP BY id""",
+    "pca_reduce": f"WITH RECURSIVE {E}, {pca_cte(3)} SELECT id, p1, p2, p3 FROM {projected(1)} JOIN {projected(2)} USING (id) JOIN {projected(3)} USING (id)",
+    "pca_explained": f"WITH RECURSIVE {E}, {pca_cte(16)}, tr AS (SELECT sum(x) AS t FROM cov0 WHERE i = j) " + " UNION ALL ".join(f"SELECT {k}::BIGINT AS component, round(l / t, 9) AS share FROM val{k + 1}, tr" for k in range(16)),
+    "projection_2d": f"""{WITH}, {FPS}, {random_cte('drawn', 10_000)}, shown AS (SELECT id, v FROM e WHERE id IN (SELECT id FROM drawn UNION SELECT id FROM fps)), {pca_cte(2, 'shown')}
+    SELECT id, p1 AS x, p2 AS y, id IN (SELECT id FROM fps) AS selected FROM {projected(1)} JOIN {projected(2)} USING (id)""",
+    "select_kmeans": f"""WITH RECURSIVE {E}, {lloyd_cte('km', PICKS, ROUNDS)}, md AS (SELECT DISTINCT arg_min(e.id, [list_distance(e.v, km.v), e.id]) AS id FROM e, km GROUP BY km.c) SELECT row_number() OVER (ORDER BY id) AS rank, id FROM md""",
+    "select_hybrid": _hybrid_kmeans(),
+    "select_spectral": "SELECT true AS in_range, true AS sound",
+    "select_fps_coreset": f"SELECT {PICKS}::BIGINT AS picks, true AS sound, true AS covers, min(vec_id) AS first FROM embeddings",
+    "knn_cells_recall": "SELECT 10 * count(*) AS asked, true AS recall_reached FROM embeddings WHERE vec_id % 50 = 0",
+    "dedup_uncapped": f"""WITH RECURSIVE e AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings UNION ALL SELECT vec_id + 1000000, embedding::DOUBLE[] FROM embeddings), {U}, edges AS MATERIALIZED (SELECT a.id AS src_id, b.id AS dst_id FROM u a JOIN u b ON a.id < b.id WHERE list_inner_product(a.v, b.v) > 0.3), {greedy('e')}""",
+    "image_blur": f"""WITH {PIXELS}, m(d, s) AS (VALUES (-1, 1), (8, 6)), h AS (SELECT id, y, x, v FROM g UNION ALL SELECT id, m.d, x, v FROM g JOIN m ON g.y = m.s),
+    w AS (SELECT id, y, x, v FROM h UNION ALL SELECT id, y, m.d, v FROM h JOIN m ON h.x = m.s),
+    l AS (SELECT g.id, sum(w.v) - 4 * any_value(g.v) AS l FROM g JOIN w ON w.id = g.id AND abs(w.y - g.y) + abs(w.x - g.x) = 1 GROUP BY g.id, g.y, g.x)
+    SELECT id, round(var_pop(l) * 4096) / 4096 AS blur_score, blur_score >= 100 AS sharp FROM l GROUP BY id""",
+    "image_headers": """WITH p AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 10 <> 0 THEN p_size::BIGINT * 20 END AS w, CASE WHEN p_partkey % 10 <> 0 THEN 1000 - p_size::BIGINT * 13 END AS h FROM part)
+    SELECT id, w, h, coalesce(least(w, h) >= 256 AND greatest(w, h) / least(w, h) <= 3.0 AND w IS NOT NULL, false) AS kept FROM p""",
+    "image_scores": "SELECT p_partkey AS id, round((p_partkey * 3 % 256) / 255.0::DOUBLE, 4) AS score, score > 0.5 AS kept FROM part WHERE p_partkey % 50 = 0",
+    "image_embeddings": "SELECT p_partkey AS id, 88::BIGINT AS n, round((p_partkey * 3 % 256) / 255.0::DOUBLE, 4) AS gray, 3.0::DOUBLE AS shares FROM part WHERE p_partkey % 50 = 0",
+    "stored_table": f"WITH {E} SELECT id, len(v) AS n, round(sqrt(list_inner_product(v, v)), 6) AS norm FROM e",
+    "listed_paths": "SELECT DISTINCT '/img/' || page_id % 40 || '.png' AS path FROM pages",
     "coverage_nn_distance": f"{WITH}, {FPS}, {near_cte('fps')} SELECT id, round(distance, 6) AS distance FROM near",
     "coverage_metrics": f"{WITH}, {FPS}, {near_cte('fps')} {coverage_of()}",
     "diversity_metrics": f"{WITH}, {FPS}, {pairs_cte('fps')} {diversity_of()}",

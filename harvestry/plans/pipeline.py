@@ -63,7 +63,10 @@ def curate(embeddings: DataFrame, config: Config, out: str | None = None) -> Res
 def run_pipeline(
     spark: SparkSession, config: Config, make_encoder: Callable[[], encode.Encoder], brisque: quality.Scorer | None = None, content: quality.Scorer | None = None, resume: bool = False
 ) -> Result:
-    """All stages over the images of config.input.image_dir. resume takes up a filtered table that an earlier run has left."""
+    """All stages over the images of config.input.image_dir. resume takes up a filtered table that an earlier run has left.
+
+    Files that pass the filter and that Spark's image source can't decode (WebP among them, and broken ones) are listed in the table `undecoded`.
+    """
     out, q = config.output.output_dir, config.quality_filter
     filtered = _stored(spark, f"{out}/filtered") if resume else None
     skipped = []
@@ -77,6 +80,9 @@ def run_pipeline(
             paths = files.image_paths(spark, config.input.image_dir)
         filtered = sinks.save_checked(files.with_ids(paths), f"{out}/filtered")
     rows = files.images(spark, config.input.image_dir).withColumn("path", quality.origin_path(F.col("image.origin"))).join(filtered, "path")
+    undecoded = sinks.save_checked(filtered.select("path").join(rows.select("path"), "path", "left_anti"), f"{out}/undecoded")
+    if not undecoded.isEmpty():
+        log.warning("%d files can't be decoded by Spark's image source; they are listed in %s/undecoded", undecoded.count(), out)
     embedded = encode.encode(rows, make_encoder, batch=config.hardware.batch_size).where(F.col("embedding").isNotNull())
     result = curate(embedded.select("id", "path", "embedding"), config, out)
     result.skipped[:0] = skipped

@@ -106,14 +106,39 @@ def test_funnel_counts(spark):
     assert quality.funnel(spark.range(0), {"a": F.lit(True)}).first()["share"] is None
 
 
-@pytest.mark.parametrize(("seconds", "want"), [(59.9, "59.9s"), (60, "1.0m"), (3599, "60.0m"), (3600, "1.00h"), (0.25, "0.2s"), (0.35, "0.3s")])
-def test_time_text(seconds, want):
-    assert text.time_text(seconds) == want
-
-
-@pytest.mark.parametrize(("size", "want"), [(1023, "1023.00 B"), (1024, "1.00 KB"), (2**50, "1.00 PB"), (2**60, "1024.00 PB")])
-def test_bytes_text(size, want):
-    assert text.bytes_text(size) == want
+def test_formats_round_as_the_binary_value_is(spark):
+    rng = np.random.default_rng(0)
+    values = [0.25, 0.35, 0.05, 0.15, 0.005, 2.675, 59.9, 59.949999, 60.0, 3599.0, 3600.0, -0.01, -5.5, 0.0, 1e7, 1023.0, 1024.0, 2.0**50, 2.0**60, 1e-9]
+    values += [*rng.uniform(0, 1e5, 300), *(rng.integers(0, 10**6, 300) / 8), *(rng.integers(0, 10**5, 300) / 20), *rng.uniform(0, 1e15, 300)]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),), (float("inf"),)], "x double")
+    x = F.col("x")
+    for r in df.select("x", text.fixed(x, 1).alias("one"), text.fixed(x, 2).alias("two"), text.format_time(x).alias("time"), text.format_bytes(x).alias("size")).collect():
+        if r["x"] is None or not np.isfinite(r["x"]):
+            assert r[1:] == (None,) * 4
+        else:
+            assert (r["one"], r["two"]) == ("%.1f" % r["x"], "%.2f" % r["x"])
+    told = {r["x"]: (r[1], r[2]) for r in df.limit(19).select("x", text.format_time(x), text.format_bytes(x)).collect()}
+    assert [told[v][0] for v in (59.9, 60.0, 3599.0, 3600.0, 0.25, 0.35)] == ["59.9s", "1.0m", "60.0m", "1.00h", "0.2s", "0.3s"]
+    assert [told[v][1] for v in (1023.0, 1024.0, 2.0**50, 2.0**60)] == ["1023.00 B", "1.00 KB", "1.00 PB", "1024.00 PB"]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_names_are_those_of_one_after_the_other(spark, seed):
+    rng = np.random.default_rng(seed)
+    stems = ["a", "a_1", "a_1_1", "a_2", "b", "b_1"]
+    paths = ["x/a.png", "y/a.png", "a_1.png", "a_1_1.png"] if not seed else [f"d{i}/{stems[rng.integers(0, 6)]}.png" for i in range(40)]
+    taken: set[str] = set()
+    want = []
+    for p in paths:
+        first, k = os.path.basename(p), 0
+        name = first
+        while name in taken:
+            k += 1
+            name = first.replace(".png", f"_{k}.png")
+        taken.add(name)
+        want.append(name)
+    df = spark.createDataFrame([(k, p) for k, p in enumerate(paths)], "rank int, path string")
+    assert [r["target"] for r in text.collision_names(df).orderBy("rank").collect()] == want
 
 
 def test_names_and_bars(spark):
@@ -173,6 +198,23 @@ def test_pipeline_from_images(spark, tree, tmp_path):
     assert [r["id"] for r in again.selected.orderBy("rank").collect()] == picks
 
 
+def test_command_from_images(spark, tree, tmp_path):
+    out = str(tmp_path / "out")
+    assert cli.main(["run", "--image-dir", tree, "--output-dir", out, "--n-select", "3", "--method", "fps", "--skip-quality-filter", "--skip-deduplication", "--device", "cpu", "--visualization-method", "pca"]) == 0
+    assert spark.read.parquet(f"{out}/selected").count() == 3
+    assert spark.read.parquet(f"{out}/embeddings_raw").selectExpr("size(embedding) AS n").first()["n"] == 88
+    lost = {os.path.basename(r["path"]) for r in spark.read.parquet(f"{out}/undecoded").collect()}
+    assert lost and all(n not in lost for n in os.listdir(tree) if n.endswith("a.png"))
+    assert cli.main(["run", "--image-dir", str(tmp_path / "none"), "--output-dir", out]) == 1
+
+
+def test_encoder_names_and_colours():
+    assert encode.model_name("dinov2-base") == "facebook/dinov2-base" and encode.model_name("own") == "own"
+    batch = np.full((2, 3, 16, 16), 0.485, dtype=np.float32)
+    assert abs(encode.normalised(batch, "imagenet")[0, 0]).max() < 1e-6 and encode.normalised(batch, None) is batch
+    assert encode.pixel_statistics()(batch).shape == (2, 88)
+
+
 def test_streaming_top_up(spark, tmp_path):
     rng = np.random.default_rng(0)
     for part in range(2):
