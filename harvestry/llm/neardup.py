@@ -7,16 +7,17 @@ sensitive, so bands of registers are hashed and joined.
 Steps. (1) Equal sets become one class, whose node is its smallest doc_id; only classes are sketched further. (2) In each band
 bucket the smallest node leads; candidates are the distinct pairs of a leader and a member, a number linear in the buckets' rows.
 (3) Candidates are pruned by exact set sizes and by the likelihood estimate, and the rest is verified on the full texts. (4) Buckets whose
-members those links haven't all joined are compared pair by pair, by sizes and by one bit of each register, which is cheap, so only
-pairs of different components that may reach the threshold leave the step. A bucket of more than HOT members is split first: its members
-must meet again in a band of another family over the same registers, up to LEVELS times, which parts pages that only share a template; a
-bucket that no family splits is cut into blocks, and each two of its blocks meet, so none of its pairs is left out. (5) Pairs that are left are pruned by the
-likelihood estimate, and the nodes that are still in one are put into blocks of TILE; for each pair of blocks that holds such a pair a task
-counts the intersections of the full sets and returns only links that join components. No text is sent for a pair that isn't likely.
+members those links haven't all joined are compared pair by pair, pairs of different components only, by sizes and by four bits of each register, which is cheap, so only
+pairs that may reach the threshold leave the step. A bucket with more than HOT such pairs is split first: its members
+must meet again in a band of another family over the same registers, up to SPLITS times, as long as that leaves fewer pairs; this parts pages that only share a template. Buckets
+are dealt in blocks of ROWS_MET rows, and each two of a bucket's blocks meet, but for two blocks of its largest component; none of its pairs is left out, and no pair is
+sent on, only groups that such pairs join, a row for each member. (5) A group is cut into blocks of TILE nodes (fewer if their sets are large). For each two blocks, but those inside one component, a task
+finds the nodes that are in a likely pair by the likelihood estimate on full registers, and a second one counts the intersections of these nodes' full sets and returns only links that join components. No
+text is sent for a node that is in no likely pair of the two blocks.
 (6) Components come from alternating large-star and small-star steps over written edge tables; nothing of it reaches the driver but counts.
 
 At the threshold 0.85 a pair is missed by all 42 bands of 6 registers of a family with a probability of 2e-9, the estimate's
-margin of 0.12 is over five standard deviations, and that of the bits is six.
+margin of 0.12 is over five standard deviations, and that of the bits six.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ REGISTERS, BANDS, ROWS = 256, 42, 6
 BASE, RATE, LEVELS = 1.02, 20.0, 4094
 MARGIN = 0.12
 TILE, LONG = 512, 1024
-HOT, LEVELS, DEVIATIONS = 2048, 4, 6.0
+HOT, SPLITS, ROWS_MET, PAIRS, DEVIATIONS = 1 << 27, 4, 2048, 1 << 18, 6.0
 SLICE, CHUNK, RARE = 2048, 4096, 16
 
 _rng = np.random.default_rng(7)
@@ -74,14 +75,25 @@ def band_keys(registers: np.ndarray, family: int = 0) -> np.ndarray:
     return mix((mix(r + np.uint64(1)) * _BAND_SALT).sum(axis=2, dtype=np.uint64) + np.uint64(family))
 
 
-def register_bits(registers: np.ndarray) -> np.ndarray:
-    """One bit of each register, packed (rows x REGISTERS / 8 bytes): equal registers have equal bits, different ones in half of all cases."""
-    return np.packbits((mix(registers.astype(np.uint64) + np.uint64(1)) & np.uint64(1)).astype(bool), axis=1)
+def register_marks(registers: np.ndarray) -> np.ndarray:
+    """Four bits of each register, packed (rows x REGISTERS / 2 bytes): equal registers have equal bits, different ones in one of 16 cases."""
+    four = (mix(registers.astype(np.uint64) + np.uint64(1)) & np.uint64(15)).astype(np.uint8)
+    return four[:, ::2] << 4 | four[:, 1::2]
 
 
-def bits_alike(least: float) -> float:
-    """The number of equal bits below which a pair of similarity `least` falls in a chance of DEVIATIONS standard deviations."""
-    return REGISTERS * (1 + least) / 2 - DEVIATIONS * np.sqrt(REGISTERS * (1 - least**2) / 4)
+def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many registers have equal marks, for each pair of rows of 64-bit words."""
+    d = a ^ b
+    d |= d >> np.uint64(1)
+    d |= d >> np.uint64(2)
+    d &= np.uint64(0x1111111111111111)
+    return a.shape[1] * 16 - np.bitwise_count(d).sum(axis=1, dtype=np.int64)
+
+
+def least_alike(least: float, registers: int) -> float:
+    """The number of equal marks below which a pair of similarity `least` falls in a chance of DEVIATIONS standard deviations."""
+    p = least + (1 - least) / 16
+    return registers * p - DEVIATIONS * np.sqrt(registers * p * (1 - p))
 
 
 def similarity(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
@@ -124,7 +136,7 @@ def _sketches(width: int):
 
 
 def _bands(family: int):
-    """(key, node) of all bands; the keys of a later family are bound to the bucket that a row comes from."""
+    """(key, node) of all bands; the keys of a later family are bound to the bucket that a row comes from, its parent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,35 +146,70 @@ def _bands(family: int):
                 keys = band_keys(registers, family)
                 if family:
                     keys = mix(keys + mix(part.column(2).to_numpy().view(np.uint64))[:, None])
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), part.column(0).take(pa.array(np.repeat(np.arange(part.num_rows), BANDS)))], names=["key", "node"])
+                row = pa.array(np.repeat(np.arange(part.num_rows), BANDS))
+                columns = [pa.array(keys.ravel().view(np.int64)), part.column(0).take(row), *([part.column(2).take(row)] if family else [])]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "parent"][: len(columns)])
 
     return run
 
 
-def _with_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _with_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         registers = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), binary_column([b.tobytes() for b in register_bits(registers)])], names=["node", "n", "bits"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), binary_column([b.tobytes() for b in register_marks(registers)])], names=["node", "n", "marks"])
+
+
+def joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels after the pairs (i, j) have joined their rows' groups; a group's label is its least row."""
+    while True:
+        x, y = label[i], label[j]
+        apart = x != y
+        if not apart.any():
+            return label
+        i, j, x, y = i[apart], j[apart], x[apart], y[apart]
+        label = label.copy()
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (label[label] != label).any():
+            label = label[label]
 
 
 def _meetings(percent: int):
-    """Pairs (a, b) of rows (key, node, n, bits, component), sorted by key, that share a key, lie in different components and may reach the threshold."""
-    least = bits_alike(percent / 100)
+    """Groups (a, b) of rows (key, node, n, marks, component), sorted by key: rows of one key, of different components, that may reach the threshold, are joined, and each row of a group is paired with its least node.
+
+    So what leaves the step is at most a pair for each row, however many pairs meet in it.
+    """
+    first_words = 4
+    some, least = least_alike(percent / 100, 16 * first_words), least_alike(percent / 100, REGISTERS)
 
-    def pairs(table: pa.Table) -> pa.RecordBatch:
+    def groups(table: pa.Table) -> pa.RecordBatch:
         key, node, n, own = (table[c].to_numpy() for c in ("key", "node", "n", "component"))
-        bits = np.frombuffer(b"".join(table["bits"].to_pylist()), dtype=np.uint64).reshape(-1, REGISTERS // 64)
-        left, right, at, d = [], [], np.arange(len(key)), 0
-        while len(at):
-            d += 1
-            at = at[at + d < len(key)]
-            at = at[key[at + d] == key[at]]
-            near = at[(own[at] != own[at + d]) & (100 * np.minimum(n[at], n[at + d]) >= percent * np.maximum(n[at], n[at + d]))]
-            near = near[REGISTERS - np.bitwise_count(bits[near] ^ bits[near + d]).sum(axis=1, dtype=np.int64) >= least]
-            left.append(np.minimum(node[near], node[near + d]))
-            right.append(np.maximum(node[near], node[near + d]))
-        found = np.unique(np.column_stack([np.concatenate(left), np.concatenate(right)]), axis=0) if left else np.zeros((0, 2), dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(found[:, k], table["node"].type) for k in (0, 1)], names=["a", "b"])
+        marks = np.frombuffer(b"".join(table["marks"].to_pylist()), dtype=np.uint64).reshape(-1, REGISTERS // 16)
+        order = np.lexsort((node, key))
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))  # rows by key and node, so that the least row is the least node
+        order = np.lexsort((own, key))
+        key, rank, n, own, marks = key[order], rank[order], n[order], own[order], marks[order]
+        head = marks[:, :first_words].copy()
+        # a row's partners are the rows of its bucket after its component
+        turns = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (own[1:] != own[:-1]), True])
+        first = np.repeat(turns[1:], np.diff(turns))
+        opens = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
+        count = np.repeat(opens[1:], np.diff(opens)) - first
+        total, at, label = np.cumsum(count), 0, np.arange(len(rank))
+        while at < len(count):
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, "right")))
+            size = count[at:to]
+            i = np.repeat(np.arange(at, to), size)
+            j = np.arange(len(i)) - np.repeat(np.cumsum(size) - size - first[at:to], size)
+            near = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (label[rank[i]] != label[rank[j]])
+            i, j = i[near], j[near]
+            near = alike(head[i], head[j]) >= some
+            i, j = i[near], j[near]
+            near = alike(marks[i], marks[j]) >= least
+            label, at = joined(label, rank[i[near]], rank[j[near]]), to
+        node = node[np.lexsort((node, table["key"].to_numpy()))]
+        others = np.flatnonzero(label != np.arange(len(label)))
+        return pa.RecordBatch.from_arrays([pa.array(node[label[others]], table["node"].type), pa.array(node[others], table["node"].type)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -172,11 +219,11 @@ def _meetings(percent: int):
             last = batch.column(0)[batch.num_rows - 1].as_py()
             whole = int(np.searchsorted(batch.column(0).to_numpy(), last))  # the last bucket may go on
             if whole:
-                yield pairs(pa.Table.from_batches([*held, batch.slice(0, whole)]))
+                yield groups(pa.Table.from_batches([*held, batch.slice(0, whole)]))
                 held = []
             held.append(batch.slice(whole))
         if held:
-            yield pairs(pa.Table.from_batches(held))
+            yield groups(pa.Table.from_batches(held))
 
     return run
 
@@ -238,6 +285,28 @@ def intersections(rows: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _near(percent: int):
+    """Rows (cluster, x, y, node) of a tile (with component, n and registers) that are in a likely pair of different components, by sizes, equal registers and the likelihood estimate."""
+    t = percent / 100
+    least = REGISTERS * t - DEVIATIONS * np.sqrt(REGISTERS * t * (1 - t))
+
+    def run(table: pa.Table) -> pa.Table:
+        own, n = table["component"].to_numpy(), table["n"].to_numpy()
+        registers = np.frombuffer(b"".join(table["registers"].to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+        near = np.zeros(len(n), dtype=bool)
+        for i in range(len(n) - 1):
+            j = i + 1 + np.flatnonzero((own[i + 1 :] != own[i]) & (100 * np.minimum(n[i], n[i + 1 :]) >= percent * np.maximum(n[i], n[i + 1 :])))
+            j = j[~(near[i] & near[j])]  # what a pair would tell of two rows that are in one each
+            j = j[(registers[j] == registers[i]).sum(axis=1) >= least]
+            if len(j):
+                j = j[similarity(np.broadcast_to(registers[i], (len(j), REGISTERS)), registers[j], np.full(len(j), float(n[i])), n[j].astype(float)) >= t - MARGIN]
+                near[j] = True
+                near[i] |= len(j) > 0
+        return table.select(["cluster", "x", "y", "node"]).filter(pa.array(near))
+
+    return run
+
+
 def _tile(width: int, percent: int):
     def run(table: pa.Table) -> pa.Table:
         ids, own, texts = table["node"].to_numpy(), table["component"].to_numpy(), table["text"].combine_chunks()
@@ -317,35 +386,42 @@ class _Verifier:
         full = self.likely(pairs).join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb")
         return map_batches(full, _verified(self.width, self.percent), f"a {self.id_type}, b {self.id_type}")
 
-    def _apart(self, entries: DataFrame, labels: DataFrame, name: str) -> DataFrame:
-        """(key, node, component, size) of the buckets that hold several components."""
-        own = written(_labelled(entries, labels, "node", "component"), f"{name}-own")
-        size = own.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key", "size")
-        return written(own.join(size, "key"), name)
+    def _apart(self, entries: DataFrame, labels: DataFrame) -> DataFrame:
+        """Rows (key, node, component, parent) of the buckets that hold several components, with the bucket's rows, its pairs of different components and its largest component."""
+        own = written(_labelled(entries, labels, "node", "component"), "own")
+        parts = own.groupBy("key", "component").agg(F.count("*").alias("c"), F.min("parent").alias("parent"))
+        sizes = parts.groupBy("key").agg(F.sum("c").alias("rows"), F.sum(F.col("c") * F.col("c")).alias("same"), F.max(F.struct("c", "component")).alias("most"))
+        sizes = sizes.where("rows > most.c").select("key", "rows", F.floor((F.col("rows") * F.col("rows") - F.col("same")) / 2).alias("cross"), F.col("most.c").alias("n_major"), F.col("most.component").alias("major"))
+        out = written(own.join(sizes, "key"), "apart")
+        discard(own)
+        return out
 
     def unjoined(self, buckets: DataFrame, labels: DataFrame) -> DataFrame:
-        """The likely pairs (a, b) of nodes of different components that share a bucket (key, node). Hot buckets are split by further families of bands, then by blocks."""
-        entries, cold = self._apart(buckets, labels, "apart"), []
-        for family in range(1, LEVELS + 1):
-            cold.append(entries.where(F.col("size") <= HOT))
-            hot = entries.where(F.col("size") > HOT)
+        """Pairs (a, b) that join the nodes of different components that share a bucket (key, node) and may reach the threshold."""
+        entries, ready = self._apart(buckets.withColumn("parent", F.lit(0).cast("long")), labels), []
+        for family in range(1, SPLITS + 1):
+            hot = entries.where(F.col("cross") > HOT)
             if hot.isEmpty():
-                entries = None
                 break
             keyed = hot.select("node", "key").join(self.nodes.select("node", "registers"), "node").select("node", "registers", "key")
-            entries = self._apart(map_batches(keyed, _bands(family), f"key long, node {self.id_type}"), labels, "apart")
-        if entries is not None:
-            cold.append(entries.where(F.col("size") <= HOT))
-            blocks_of = F.ceil(2 * F.col("size") / HOT)
-            own = entries.where(F.col("size") > HOT).withColumn("x", F.pmod(F.xxhash64("node"), blocks_of)).withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), blocks_of - 1)))
-            cold.append(own.withColumn("key", F.xxhash64("key", F.least("x", "y"), F.greatest("x", "y"))).select("key", "node", "component", "size"))
-        rows = cold[0]
-        for more in cold[1:]:
+            parts = self._apart(map_batches(keyed, _bands(family), f"key long, node {self.id_type}, parent long"), labels)
+            cost = parts.select("key", "parent", "cross").distinct().groupBy("parent").agg(F.sum("cross").alias("after"))
+            split = written(hot.select("key", "cross").distinct().join(cost, F.col("key") == F.col("parent"), "left").where(F.coalesce("after", F.lit(0)) < F.col("cross")).select(F.col("key").alias("parent")), "split")
+            ready.append(entries.join(split.withColumnRenamed("parent", "key"), "key", "left_anti"))
+            entries = written(parts.join(split, "parent", "left_semi"), "entries")
+        rows = entries
+        for more in ready:
             rows = rows.unionByName(more)
-        bits = map_batches(self.nodes.select("node", "n", "registers"), _with_bits, f"node {self.id_type}, n long, bits binary")
-        rows = rows.join(bits, "node").select("key", "node", "n", "bits", "component").repartition("key").sortWithinPartitions("key")
-        met = map_batches(rows, _meetings(self.percent), f"a {self.id_type}, b {self.id_type}").distinct()
-        return self.likely(written(met, "met", sparse=True))
+        # blocks of the largest component, which need not meet each other, and then those of the rest
+        majors, others = F.ceil(F.col("n_major") / ROWS_MET), F.ceil((F.col("rows") - F.col("n_major")) / ROWS_MET)
+        whole = F.col("rows") <= ROWS_MET
+        is_major, drawn = F.col("component") == F.col("major"), F.xxhash64("node", F.lit(1))
+        dealt = rows.withColumn("x", F.when(whole, 0).when(is_major, F.pmod(drawn, majors)).otherwise(majors + F.pmod(drawn, others)))
+        dealt = dealt.withColumn("y", F.explode(F.sequence(F.when(is_major & ~whole, majors).otherwise(0), F.when(whole, 0).otherwise(majors + others - 1))))
+        dealt = dealt.select(F.xxhash64("key", F.least("x", "y"), F.greatest("x", "y")).alias("key"), "node", "component")
+        marks = map_batches(self.nodes.select("node", "n", "registers"), _with_marks, f"node {self.id_type}, n long, marks binary")
+        met = dealt.join(marks, "node").select("key", "node", "n", "marks", "component").repartition("key").sortWithinPartitions("key")
+        return map_batches(met, _meetings(self.percent), f"a {self.id_type}, b {self.id_type}").distinct()
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -378,18 +454,24 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     links = written(verifier.links(pairs), "links")
     labels = components(links, "labels")
 
-    more = written(verifier.unjoined(shared.select("key", "node"), labels), "unjoined", sparse=True)
-    if not more.isEmpty():
-        ends = more.union(more.select("b", "a")).toDF("node", "other").groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("near"))
-        placed = _labelled(ends.join(wanted, "node"), labels, "node", "component")
-        run = running_total(placed, F.greatest("n", F.lit(LONG)), "near", "component", "node", out="total")
-        placed = written(run.select("node", "component", F.floor((F.col("total") - 1) / (TILE * LONG)).cast("long").alias("block")), "placed")
-        block = lambda end, out: placed.select(F.col("node").alias(end), F.col("block").alias(out))
-        tiles = more.join(block("a", "x"), "a").join(block("b", "y"), "b").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.explode(F.array("a", "b")).alias("node")).distinct()
-        members = tiles.join(placed.select("node", "component"), "node").join(texts, "node").select("x", "y", "node", "component", "text")
-        joined = written(members.groupBy("x", "y").applyInArrow(_tile(width, percent), f"a {id_type}, b {id_type}"), "links")
-        if not joined.isEmpty():
-            labels = components(joined.unionByName(labels.select(F.col("component").alias("a"), F.col("id").alias("b"))), "labels")
+    met = written(verifier.unjoined(shared.select("key", "node"), labels), "met", sparse=True)
+    if not met.isEmpty():
+        groups = components(met, "clusters")
+        groups = written(groups.union(groups.select("component", "component").distinct()).toDF("node", "cluster"), "groups")
+        placed = _labelled(groups.join(wanted, "node"), labels, "node", "component")
+        run = running_total(placed, F.greatest("n", F.lit(LONG)), "cluster", "component", "node", out="total")
+        placed = written(run.select("node", "component", "cluster", F.floor((F.col("total") - 1) / (TILE * LONG)).cast("long").alias("block")), "placed")  # a block of two clusters counts as two
+        parts = placed.groupBy("cluster", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        other = parts.select("cluster", F.col("block").alias("y"), F.col("lo").alias("ylo"), F.col("hi").alias("yhi"))
+        tiles = parts.withColumnRenamed("block", "x").join(other, "cluster").where("x <= y AND NOT (lo = hi AND ylo = yhi AND lo = ylo)")
+        tiles = tiles.select("cluster", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
+        members = tiles.join(placed, ["cluster", "block"]).select("cluster", "x", "y", "node", "component")
+        sketched = members.join(verifier.nodes, "node").select("cluster", "x", "y", "node", "component", "n", "registers")
+        near = written(sketched.groupBy("cluster", "x", "y").applyInArrow(_near(percent), f"cluster {id_type}, x long, y long, node {id_type}"), "near")
+        texted = near.join(placed.select("node", "component"), "node").join(texts, "node").select("cluster", "x", "y", "node", "component", "text")
+        more = written(texted.groupBy("cluster", "x", "y").applyInArrow(_tile(width, percent), f"a {id_type}, b {id_type}"), "links")
+        if not more.isEmpty():
+            labels = components(more.unionByName(labels.select(F.col("component").alias("a"), F.col("id").alias("b"))), "labels")
 
     ids = some.select("id", "d1", "d2", "n").join(classes, ["d1", "d2", "n"]).select("id", "n", "node")
     if not some.groupBy("id").agg(F.min("d1").alias("x"), F.max("d1").alias("y"), F.min("d2").alias("z"), F.max("d2").alias("w")).where("x < y OR z < w").isEmpty():

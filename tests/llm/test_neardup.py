@@ -110,3 +110,40 @@ def test_components_of_a_chain(spark):
     n = 60
     edges = spark.createDataFrame([(k, k + 1) for k in range(n)], "a long, b long")
     assert {(r["id"], r["component"]) for r in neardup.components(edges).collect()} == {(k, 0) for k in range(1, n + 1)}
+
+
+def test_words_that_swap_two_letters_everywhere_are_unlike(spark):
+    one = "a"
+    for _ in range(10):
+        one += "".join("b" if c == "a" else "a" for c in one)
+    two = "".join("b" if c == "a" else "a" for c in one)
+    words = [one[k : k + 1] * 3 for k in range(64)]  # the same order of two words
+    rows = [(1, f"x y {one} z q"), (2, f"x y {two} z q"), (3, " ".join(words)), (4, " ".join("bbb" if w == "aaa" else "aaa" for w in words))]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.near_duplicate_report(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == brute(rows, 3, 85)
+    assert got[2][1] == 2
+
+
+def test_pages_of_one_template_are_compared_in_the_bucket_that_they_share(spark, monkeypatch):
+    """With tiny limits: buckets are split by families and dealt in blocks, and no link is lost."""
+    monkeypatch.setattr(neardup, "HOT", 400)
+    monkeypatch.setattr(neardup, "ROWS_MET", 32)
+    rng = random.Random(17)
+    frame = words_of(rng, 120)
+    rows = [(i, " ".join(frame + words_of(rng, 60))) for i in range(150)]
+    near = words_of(rng, 200)
+    for i in range(150, 260):  # a group around the threshold, whose first member links to few
+        own = list(near)
+        for k in rng.sample(range(200), rng.randint(4, 10)):
+            own[k] = words_of(rng, 1)[0]
+        rows.append((i, " ".join(own)))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.near_duplicate_report(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == brute(rows, 3, 85)
+
+
+def test_very_long_texts_and_words(spark):
+    rng = random.Random(2)
+    long = " ".join(words_of(rng, 60_000))
+    rows = [(1, long), (2, long + " tail"), (3, "w" * 3_000_000), (4, "w" * 2_999_999 + "v"), (5, long)]
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicate_report(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 1}
