@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from harvestry.session import reachable
 from harvestry.workdir import written
 
-__all__ = ["BATCH_BYTES", "clash_free", "held_out", "map_batches", "remainder", "training_labels", "written"]
+__all__ = ["BATCH_BYTES", "clash_free", "held_out", "map_batches", "remainder", "sampled_texts", "training_labels", "written"]
 
 
 def remainder(doc_id: Column) -> Column:
@@ -36,6 +36,14 @@ def training_labels(labels: DataFrame, column: str, limit: int) -> DataFrame:
     )
 
 
+def sampled_texts(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """rows (doc_id, one further column) with the text of each id in docs, whose other columns aren't read. An id that repeats in docs counts once, with its least text, so there are no more rows than in `rows`,
+    which are to be bounded, distinct by id and without nulls: they are broadcast."""
+    name = next(c for c in rows.columns if c != "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")
+    return found.groupBy("doc_id").agg(F.first(name).alias(name), F.min("text").alias("text"))
+
+
 def clash_free(schema: T.StructType, name: str) -> str:
     """`name`, with underscores in front until no column of the schema has it."""
     taken = {f.name.lower() for f in schema.fields}

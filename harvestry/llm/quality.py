@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestry.llm.common import held_out, map_batches, training_labels
+from harvestry.llm.common import held_out, map_batches, sampled_texts, training_labels
 from harvestry.llm.kernel import LOWER, SPACE, Block, blocks, range_hash, spans_of, tokens
 
 TRAINING_ROWS = 20000
@@ -159,25 +159,26 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 120, depth: int = 4, rate: fl
 
 
 def learn(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Forest:
-    """Trees from at most `limit` labelled rows that are not held out; only their statistics reach the driver (limit x 30 doubles)."""
-    rows = F.broadcast(training_labels(labels, "quality", limit))
-
+    """Trees from at most `limit` labelled rows that are not held out, whose ids may be of any type (one that repeats in docs counts once); only their statistics reach the driver (limit x 30 doubles)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = statistics_of(batch.column(2))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(x), type=pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
 
-    sample = docs.select("doc_id", "text").join(rows, "doc_id").select("doc_id", "y", "text")
-    found = map_batches(sample, run, "doc_id long, y int, x array<double>").toArrow()
+    sample = sampled_texts(docs, training_labels(labels, "quality", limit)).select("doc_id", "y", "text")
+    found = map_batches(sample, run, f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, y int, x array<double>").toArrow()
     if not found.num_rows:
         return fit(np.zeros((0, len(FEATURES))), np.zeros(0))
     x, y = np.array(found["x"].to_pylist()), found["y"].to_numpy()
-    order = np.lexsort((*x.T, found["doc_id"].to_numpy()))
+    order = np.lexsort((*x.T, found["doc_id"].to_numpy(zero_copy_only=False)))
     return fit(x[order], y[order].astype(float))
 
 
 def score_quality(df: DataFrame, forest: Forest, text: str = "text", out: str = "quality_score") -> DataFrame:
-    """df with a double column `out` from 0 to 1; null and empty texts are scored as texts whose statistics are all zero."""
+    """df with a double column `out` from 0 to 1; null and empty texts are scored as texts whose statistics are all zero.
+
+    A column named `out` is replaced; others pass through. Rows that repeat have equal scores, texts are read whole, and an empty table gives an empty one.
+    """
     base = df.drop(out)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields] + [f"`{out}` double"])
 

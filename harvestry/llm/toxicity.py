@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestry.llm.common import clash_free, held_out, map_batches, training_labels, written
+from harvestry.llm.common import clash_free, held_out, map_batches, sampled_texts, training_labels, written
 from harvestry.llm.kernel import blocks, shingles, tokens
 from harvestry.session import reachable
 
@@ -120,10 +120,9 @@ class Model:
 
 
 def sample_texts(docs: DataFrame, labels: DataFrame, column: str, limit: int) -> DataFrame:
-    """The texts of the training rows (y, text), written once; the labelled side has at most `limit` rows and is broadcast."""
+    """The texts of the training rows (doc_id, y, text), written once, at most `limit` of them: an id that repeats in docs counts once."""
     reachable(docs.sparkSession)
-    rows = F.broadcast(training_labels(labels, column, limit))
-    return written(docs.select("doc_id", "text").join(rows, "doc_id").select("doc_id", "y", "text"), "training", sparse=True)
+    return written(sampled_texts(docs, training_labels(labels, column, limit)).select("doc_id", "y", "text"), "training", sparse=True)
 
 
 def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,7 +140,7 @@ def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Model:
-    """Lexicon and curve from at most `limit` labelled rows. Without toxic or without clean rows the seeds keep their priors.
+    """Lexicon and curve from at most `limit` labelled rows, which ids of any type name. Without toxic or without clean rows the seeds keep their priors.
 
     A word enters if at least 5 and at least 1 % of the toxic texts hold it and its log odds reach 2.5; texts with the same
     smallest shingle hash count as one, so a group of copies can't make its words look toxic.
@@ -160,7 +159,7 @@ def learn(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> Mod
     for r in counts.where(strong | known).select("word", odds.alias("w")).orderBy(F.desc("w"), "word").limit(LEXICON_SIZE).collect():
         weights[r["word"]] = max(0.0, float(r["w"]))
     model = Model({w: x for w, x in weights.items() if x > 0})
-    rows = sorted((r["doc_id"], r["y"], r["a"], r["b"], r["c"]) for r in sample.mapInPandas(_features(model), "doc_id long, y int, a double, b double, c double").collect())
+    rows = sorted((r["doc_id"], r["y"], r["a"], r["b"], r["c"]) for r in sample.mapInPandas(_features(model), f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, y int, a double, b double, c double").collect())
     model.curve = fit_curve(np.array([r[2:] for r in rows]), np.array([r[1] for r in rows]))
     return model
 
@@ -190,7 +189,10 @@ def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, ...
 
 
 def score_toxicity(df: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:
-    """df with a double column `out` from 0 to 1; null and empty texts get the curve's value without any hit."""
+    """df with a double column `out` from 0 to 1; null and empty texts get the curve's value without any hit.
+
+    A column named `out` is replaced; others pass through. Rows that repeat have equal scores, texts are read whole, and an empty table gives an empty one.
+    """
     base = df.drop(out)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields] + [f"`{out}` double"])
 
@@ -211,6 +213,6 @@ def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without the rows that score THRESHOLD or more; columns as they were."""
+    """docs without the rows that score THRESHOLD or more; columns as they were, whatever their names. Null and empty texts stay, as do null ids; repeated rows stay or go together."""
     out = clash_free(docs.schema, "toxicity")
     return score_toxicity(docs, learn(docs, labels), out=out).where(F.col(out) < THRESHOLD).drop(out)
