@@ -39,8 +39,8 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document gets its rate for equal token totals of the languages; those whose rate is zero go."""
-    rated, _ = mixing.mixed(docs, mixing.labelled_languages(docs, _table(spark, sf_dir, "labels")))
-    return rated.where("rate > 0")
+    mix_of = mixing.mixed(docs, mixing.labelled_languages(docs, _table(spark, sf_dir, "labels")))
+    return mix_of.rows.where("rate > 0")
 
 
 STAGES = [
