@@ -61,3 +61,65 @@ MANY = f"<p>{P}</p>" * 30
 )
 def test_no_part_of_an_article_is_lost(html, text):
     assert extract(html) == text.strip()
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<article><h2 id='share-prices'>Share prices</h2><p class='social-policy'>{P}</p><p>{P}</p></article>", f"Share prices {P}{P}"),
+        (f"<article><p>{P}</p><p><a href=x>A whole paragraph that is one link.</a></p><p>{P}</p></article>", f"{P}A whole paragraph that is one link. {P}"),
+        (f"<body><div><p>{P}</p><p><a href=x>One link.</a></p><p><a href=x>Another one.</a></p><p>{P}</p></div></body>", f"{P}One link. Another one. {P}"),
+        (f"<main><h1>T</h1><p>Lead.</p><div>We use cookies on this page.</div><article><p>{P}</p><p>{P}</p></article></main>", f"T Lead. {P}{P}"),
+        (f"<article><header><h1>T</h1><p>by me, 3 minutes</p></header><p>{P}</p><div class='ad-box-2'>buy</div><ul class=share-buttons><li>x</ul></article>", f"T {P}"),
+        (f"<header><h1>Site</h1></header><article><p>{P}</p></article>", P),
+    ],
+)
+def test_names_and_links_do_not_take_from_an_article(html, text):
+    assert extract(html) == text.strip()
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div>" * 100_000 + "x" + "</div>" * 100_000,
+        "<div>x" * 60_000,
+        "<b>" * 50_000 + "</i>" * 50_000 + "x",
+        "<div>" * 30_000 + "</section>" * 60_000 + "x",
+        "<i>" + "<div><b>" * 30_000 + "</i>" * 30_000 + "x",
+        "<b>" * 50_000 + "<div></div>" * 30_000 + "x",
+        "<section><p>x" * 40_000,
+    ],
+)
+def test_time_is_linear(html):
+    import time
+
+    began = time.process_time()
+    assert "x" in extract(html)
+    assert time.process_time() - began < 5
+
+
+def test_generated_pages_equal_their_article():
+    """Pages put together from parts whose text is known."""
+    import random
+    from html import escape
+
+    rng = random.Random(6)
+    word = lambda: rng.choice(["text", "a<b", "R&D", "über", "ответ", "x", "long-word", "“so”"])
+    prose = lambda n: " ".join(word() for _ in range(n)) + "."
+
+    def marked(text: str) -> str:
+        return " ".join(rng.choice([lambda w: w, lambda w: f"<b>{w}</b>", lambda w: f"<a href='#'>{w}</a>" if rng.random() < 0.1 else w, lambda w: f"<i>{w}</i>"])(escape(w)) for w in text.split(" "))
+
+    for _ in range(200):
+        parts, blocks = [f"<h1>{escape('Title ' + word())}</h1>"], []
+        blocks.append(parts[0][4:-5])
+        for _ in range(rng.randint(2, 12)):
+            text = prose(rng.randint(8, 60))
+            blocks.append(text)
+            parts.append(rng.choice(["<p>{}</p>", "<p>{}", "<section><p>{}</p></section>", "<div class=body><p>{}</p></div>", "<blockquote>{}</blockquote>", "<ul><li>{}</li></ul>"]).format(marked(text).replace(" ", rng.choice([" ", "\n  "]))))
+            if rng.random() < 0.3:
+                parts.append(rng.choice(["<div class=ad>buy now</div>", "<aside>more</aside>", "<script>if (a < b) {}</script>", "<form><input></form>", "<div id='comments'><p>" + prose(20) + "</p></div>", "<figure></figure>", "<!-- no -->"]))
+        blocks[0] = blocks[0].replace("&lt;", "<").replace("&amp;", "&")
+        noise = "<nav><ul>" + "".join(f"<li><a href=/{k}>{escape(word())}</a>" for k in range(6)) + "</ul></nav>"
+        page = f"<html><head><title>t</title><style>p{{}}</style></head><body><header>{noise}</header>{noise if rng.random() < 0.5 else ''}<article>{''.join(parts)}</article><footer><p>{prose(12)}</p></footer></body></html>"
+        assert extract(page) == " ".join(blocks), page
