@@ -10,6 +10,12 @@ Items and documents are read in two ways, with names as placeholders and with na
 found whatever text is around it. A text in which half of the words or more are in capitals shows no names and is read in the second way only.
 Capitals of all scripts whose case is folded open names.
 
+Items without any such window (fewer than five words, or hardly a plain word among them) are held against the documents word by word: those of five words or more
+by windows of their very words, of which 0.8 must be there as well, shorter ones as a whole sentence or line of the document.
+
+Only documents that hold one of an item's rarest windows can hold 0.8 of them, so pairs of a document and an item come from these few windows alone, and windows that very many documents share pair nothing up by
+themselves; places are joined for the pairs that are left.
+
 The benchmark's windows are broadcast as hashes only if there are at most BROADCAST_WINDOWS of them; beyond that, windows of
 the documents are joined by a shuffle.
 """
@@ -18,11 +24,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from harvestry.llm.common import clash_free, map_batches, written
 from harvestry.llm.kernel import LOWER, Block, blocks, chained, mix, range_hash, tokens
@@ -44,6 +52,9 @@ _DIGIT = np.zeros(256, dtype=bool)
 _DIGIT[48:58] = True
 _STOP = np.zeros(256, dtype=bool)
 _STOP[list(b".!?:")] = True
+_SENTENCE = _STOP.copy()
+_SENTENCE[ord(";")] = True
+_EXACT = np.uint64(0x7F4A7C159E3779B9)
 _WORD, _NUMBER, _QUANTITY, _UNIT, _NAME = range(5)
 _PLACEHOLDER = mix(np.arange(5, dtype=np.uint64) + np.uint64(0x1234567))
 _UNIT_HASHES: list[np.ndarray] = []
@@ -58,7 +69,7 @@ def unit_hashes() -> np.ndarray:
 
 @dataclass
 class Canonical:
-    """Canonical words of a block: byte spans of their cores, type, hash (of the placeholder for slots), hash of the word itself, and row bounds."""
+    """Canonical words of a block: byte spans of their cores, type, hash (of the placeholder for slots), hash of the word itself, row bounds, and whether a sentence or line begins before a word and ends after it."""
 
     start: np.ndarray
     end: np.ndarray
@@ -66,6 +77,8 @@ class Canonical:
     hash: np.ndarray
     value: np.ndarray
     bounds: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
 
 
 def folded(data: np.ndarray) -> np.ndarray:
@@ -91,7 +104,7 @@ def readings(block: Block) -> tuple[Canonical, Canonical]:
     solid = np.flatnonzero(_ALNUM[data])
     if not len(solid) or not len(tok.start):
         e = np.zeros(0, dtype=np.int64)
-        none = Canonical(e, e, e, e.astype(np.uint64), e.astype(np.uint64), np.zeros(block.rows + 1, dtype=np.int64))
+        none = Canonical(e, e, e, e.astype(np.uint64), e.astype(np.uint64), np.zeros(block.rows + 1, dtype=np.int64), e.astype(bool), e.astype(bool))
         return none, none
     i, j = np.searchsorted(solid, tok.start), np.searchsorted(solid, tok.end)
     full = np.flatnonzero(j > i)
@@ -116,6 +129,9 @@ def readings(block: Block) -> tuple[Canonical, Canonical]:
     named = kind.copy()
     named[(kind == _WORD) & upper & ~opens & ~shouted[row]] = _NAME
     bounds = np.searchsorted(full, tok.bounds)
+    lines = np.concatenate([[0], np.cumsum(data == 10)])
+    cut = (row[1:] != row[:-1]) | _SENTENCE[data[tok.end[full[:-1]] - 1]] | _SENTENCE[data[tok.end[full[1:] - 1] - 1]] | (lines[tok.start[full[1:]]] > lines[tok.end[full[:-1]]])
+    begins, ends = np.r_[True, cut], np.r_[cut, True]
     out = []
     for kinds in (named, kind):
         unit = np.zeros(len(full), dtype=bool)
@@ -123,7 +139,7 @@ def readings(block: Block) -> tuple[Canonical, Canonical]:
         if len(follows):
             unit[follows] = np.isin(value[follows], unit_hashes())
         kinds[unit] = _UNIT
-        out.append(Canonical(start, end, kinds, np.where(kinds == _WORD, value, _PLACEHOLDER[kinds]), value, bounds))
+        out.append(Canonical(start, end, kinds, np.where(kinds == _WORD, value, _PLACEHOLDER[kinds]), value, bounds, begins, ends))
     return out[0], out[1]
 
 
@@ -141,13 +157,39 @@ def windows(words: Canonical) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return e, e, e, e.astype(np.uint64)
 
 
+def exact_windows(words: Canonical, lengths: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row, place and hash of runs of so many words as they are: all of WIDTH words, shorter ones that are whole sentences or lines."""
+    row = np.repeat(np.arange(len(words.bounds) - 1), np.diff(words.bounds))
+    for n in lengths:
+        value = chained(words.value, n)
+        inside = row[: len(value)] == row[n - 1 :] if len(value) else np.zeros(0, dtype=bool)
+        if n < WIDTH:
+            inside &= words.begins[: len(value)] & words.ends[n - 1 :]
+        at = np.flatnonzero(inside)
+        yield row[at], at - words.bounds[row[at]], mix(value[at] + _EXACT * np.uint64(n))
+
+
+def bare_windows(words: tuple[Canonical, Canonical]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row, place and hash of the words as they are of rows without a template window: runs of WIDTH words or, of rows with fewer, all of them."""
+    own, size = words[1], np.diff(words[1].bounds)
+    none = np.ones(len(size), dtype=bool)
+    for w in words:
+        none[windows(w)[0]] = False
+    for n in range(1, WIDTH + 1):
+        which = np.flatnonzero(none & (size == n if n < WIDTH else size >= n))
+        if len(which):
+            row = np.repeat(which, size[which] - n + 1)
+            at = np.concatenate([np.arange(k) for k in size[which] - n + 1])
+            yield row, at, mix(chained(own.value, n)[own.bounds[row] + at] + _EXACT * np.uint64(n))
+
+
+_SLOTS = pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.int64())]))
 WINDOW_COLUMNS = "w long, at int, slots array<struct<kind:int,value:long>>, readings array<int>"
 
 
 def _slots(words: Canonical, row: np.ndarray, at: np.ndarray) -> pa.Array:
     """For each window the types of its words and the hashes of their values, in order; words that are no slots are left out."""
-    first = words.bounds[row] + at
-    index = first[:, None] + np.arange(WIDTH)
+    index = (words.bounds[row] + at)[:, None] + np.arange(WIDTH)
     kind, value = words.kind[index], words.value[index].view(np.int64)
     slot = kind != _WORD
     offsets = np.concatenate([[0], np.cumsum(slot.sum(axis=1))]).astype(np.int32)
@@ -167,15 +209,20 @@ def _both(words: tuple[Canonical, Canonical]) -> Iterator[tuple[Canonical, list[
                 yield words[k], own, (row[which], at[which], value[which])
 
 
-def template_windows(df: DataFrame, key: str, text: str = "text", only: np.ndarray | None = None) -> DataFrame:
-    """(key, w, at, slots, readings): every template window, or those whose hash is among `only` (sorted), and the readings (0: names, 1: words) that it is in."""
+def template_windows(df: DataFrame, key: str, text: str = "text", only: np.ndarray | None = None, exact: tuple[int, ...] = (), bare: bool = False) -> DataFrame:
+    """(key, w, at, slots, readings): every template window, or those whose hash is among `only` (sorted), and the readings (0: names, 1: words) that it is in.
+
+    Words as they are, as reading 2 and without slots: runs of the lengths `exact`, and with `bare` those of rows that have no template window.
+    """
     kind = df.schema[key].dataType.simpleString()
     shared = df.sparkSession.sparkContext.broadcast(only) if only is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(1)):
-                for words, own, (row, at, value) in _both(readings(block)):
+                both = readings(block)
+                plain = ((both[1], [2], found) for found in (bare_windows(both) if bare else exact_windows(both[1], exact)))
+                for words, own, (row, at, value) in chain(_both(both), plain):
                     value = value.view(np.int64)
                     if shared is not None and len(value):
                         known = shared.value
@@ -186,7 +233,7 @@ def template_windows(df: DataFrame, key: str, text: str = "text", only: np.ndarr
                         row, at, value = row[hit], at[hit], value[hit]
                     if len(value):
                         ways = pa.array([own] * len(value), pa.list_(pa.int32()))
-                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row + block.first)), pa.array(value), pa.array(at.astype(np.int32)), _slots(words, row, at), ways], names=[key, "w", "at", "slots", "readings"])
+                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row + block.first)), pa.array(value), pa.array(at.astype(np.int32)), _slots(words, row, at) if own != [2] else pa.array([[]] * len(value), _SLOTS), ways], names=[key, "w", "at", "slots", "readings"])
 
     return map_batches(df.select(key, text), run, f"`{key}` {kind}, {WINDOW_COLUMNS}")
 
@@ -194,25 +241,34 @@ def template_windows(df: DataFrame, key: str, text: str = "text", only: np.ndarr
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", share: float = SHARE, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """(id, item_id, coverage): the pairs of a document and a benchmark item that it holds.
 
-    Rows without a key or text take no part. Items with no window (fewer than five words, or hardly a plain word) can't be found.
+    Rows without a key or text take no part, empty texts hold nothing, and an item without a word is in no document. Rows that repeat an id count as one document (or item) with all of their windows; a tie of several readings
+    or items tells the best coverage of each pair. Other columns aren't read. Empty tables give an empty one.
     """
     bench = benchmark.where(F.col("item_id").isNotNull())
-    items = written(template_windows(bench, "item_id").withColumn("reading", F.explode("readings")).drop("readings"), "items", sparse=True)
+    items = written(template_windows(bench, "item_id", bare=True).withColumn("reading", F.explode("readings")).drop("readings"), "items", sparse=True)
     item = ["item_id", "reading"]
     sizes = items.groupBy(*item).agg(F.countDistinct("w").alias("size"))
     base = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull() & F.col("text").isNotNull())
     distinct = items.select("w").distinct()
     count = distinct.count()
+    exact = () if items.where("reading = 2").isEmpty() else tuple(range(1, WIDTH + 1))
     if count <= broadcast_windows:
         known = np.sort(distinct.toArrow()["w"].to_numpy().astype(np.int64))
-        found = template_windows(base, "id", only=known)
+        found = template_windows(base, "id", only=known, exact=exact)
     else:
-        found = template_windows(base, "id").join(distinct, "w", "left_semi")
-    found = written(found, "windows", sparse=True).withColumn("way", F.explode("readings")).drop("readings")
+        found = template_windows(base, "id", exact=exact).join(distinct, "w", "left_semi")
+    found = written(found.withColumn("way", F.explode("readings")).drop("readings"), "windows", sparse=True)
     pair = ["id", "way", *item]
-    met = found.join(items.select(*item, "w", F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), "w").where("way <= reading").withColumn("shift", F.col("at") - F.col("item_at"))
-    many = met.groupBy(*pair).agg(F.countDistinct("w").alias("n")).join(sizes, item).where(F.col("n") >= share * F.col("size"))
-    met = written(met.join(many.select(*pair, "size", "n"), pair), "met")
+    # an item's rarest windows, so many that a document without them holds too few of the others
+    own, held = items.select(*item, "w").distinct(), written(found.select("id", "way", "w").distinct(), "held")
+    often = own.join(held.groupBy("w").agg(F.count("*").alias("often")), "w", "left").join(sizes, item)
+    place = F.row_number().over(Window.partitionBy(*item).orderBy(F.coalesce("often", F.lit(0)), "w"))
+    rare = written(often.withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(share * F.col("size")) + 1).select(*item, "w"), "rare")
+    maybe = held.join(rare, "w").where("way <= reading").select(*pair).distinct()
+    many = maybe.join(own, item).join(held, ["id", "way", "w"]).groupBy(*pair).agg(F.count("*").alias("n")).join(sizes, item).where(F.col("n") >= share * F.col("size"))
+    many = written(many, "many", sparse=True)
+    met = many.join(items.select(*item, "w", F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), item).join(found, ["id", "way", "w"])
+    met = written(met.withColumn("shift", F.col("at") - F.col("item_at")), "met")
     by_shift = [*pair, "shift"]
     along = met.groupBy(*by_shift).agg(F.countDistinct("w").alias("m"), F.max("size").alias("size")).where(F.col("m") >= share * F.col("size")).select(*by_shift)
     slots = lambda by: met.select(*by, F.explode(F.arrays_zip("item_slots", "slots")).alias("z")).select(*by, F.col("z.item_slots.kind").alias("kind"), F.col("z.item_slots.value").alias("x"), F.col("z.slots.value").alias("y")).distinct()
