@@ -6,9 +6,9 @@ and joined globally. The first occurrence of a run, by document and place, stays
 
 A passage that starts or ends inside a sentence is found by its words, as its sentences alone would leave its ends, or all of it where it has
 no three whole sentences; that is why a sentence may lose a part. Of the hashes of 20 consecutive words every one that is the least of
-some REACH consecutive ones is a mark, so any passage of 50 words holds the same mark wherever it stands. Marks are joined with the runs. If all
-occurrences of a mark have the same words as far as the next mark (or the text's end) on a side, these words belong to the repeat; if not, every
-occurrence gives each run of 20 words that starts within REACH on that side, and these runs are joined too. So a passage is covered word by
+some REACH consecutive ones is a mark, so any passage of 50 words holds the same mark wherever it stands. Marks are joined with the runs. Occurrences of
+a mark that have the same words as far as the next mark (or the text's end) on a side repeat these, too, and the first of them leads; where a mark has several leads on a side, each
+gives all runs of 20 words that start within REACH on it, and these runs are joined too. So a passage is covered word by
 word to both its ends, whatever surrounds it.
 
 Runs are equal if their 64-bit hashes are: words are mixed byte by byte and runs word by word, so a false repeat has a chance of 2**-64 for each
@@ -186,11 +186,18 @@ def repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[Dat
     kind = df.schema[key].dataType.simpleString()
     base = df.select(key, text).where(F.col(key).isNotNull() & F.col(text).isNotNull())
     hits = _repeated(written(map_batches(base, _found, f"run long, id {kind}, at int, again boolean, length int, back int, ahead int, left long, right long"), "runs"))
-    marked = hits.where("length IS NULL")
-    alike = marked.groupBy("run").agg(*((F.min(side) == F.max(side)).alias(f"same_{side}") for side in ("left", "right")))
-    marked = written(marked.join(written(alike, "alike"), "run"), "marks")
-    whole = marked.where("later").select("id", (F.col("at") - F.when(F.col("same_left"), F.col("back")).otherwise(0)).alias("a"), (F.col("at") + F.when(F.col("same_right"), F.col("ahead")).otherwise(MIN_WORDS)).alias("b"))
-    ends = marked.where("NOT (same_left AND same_right)").groupBy("id").agg(F.collect_set(F.when(~F.col("same_left"), F.col("at"))).alias("lefts"), F.collect_set(F.when(~F.col("same_right"), F.col("at"))).alias("rights"))
+    marked, kept = hits.where("length IS NULL").withColumn("place", F.struct("id", "at")), []
+    for side in ("left", "right"):
+        leads = written(hits.where("length IS NULL").groupBy("run", side).agg(F.min(F.struct("id", "at")).alias(f"{side}_lead")), f"{side}s")
+        kept.append(leads)
+        several = leads.groupBy("run").agg((F.count("*") > 1).alias(f"{side}_differs"))
+        marked = marked.join(leads.join(several, "run"), ["run", side])
+    marked = written(marked.select("id", "at", "back", "ahead", "later", *(c for side in ("left", "right") for c in ((F.col("place") == F.col(f"{side}_lead")).alias(f"{side}_lead"), f"{side}_differs"))), "sides")
+    for leads in kept:
+        discard(leads)
+    whole = marked.where("later").select("id", (F.col("at") - F.when(F.col("left_lead"), 0).otherwise(F.col("back"))).alias("a"), (F.col("at") + F.when(F.col("right_lead"), MIN_WORDS).otherwise(F.col("ahead"))).alias("b"))
+    end = lambda side: F.collect_set(F.when(F.col(f"{side}_lead") & F.col(f"{side}_differs"), F.col("at"))).alias(f"{side}s")
+    ends = marked.where("left_lead AND left_differs OR right_lead AND right_differs").groupBy("id").agg(end("left"), end("right"))
     near = base.join(written(ends, "ends"), F.col(key) == F.col("id")).select("id", F.col(text).alias("text"), "lefts", "rights")
     parts = _repeated(written(map_batches(near, _beside, f"run long, id {kind}, at int, again boolean"), "beside"))
     words = whole.unionByName(parts.where("later").select("id", F.col("at").alias("a"), (F.col("at") + MIN_WORDS).alias("b")))
