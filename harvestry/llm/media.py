@@ -100,7 +100,7 @@ MEDIA_COLUMNS = "n_bytes long, media binary, payload_sha256 string, tail_crc32 l
 def with_media(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key and the media columns of each text: the WAV, digests of what was read back from it, and the fingerprint.
 
-    A null text counts as empty; its payload is 576 bytes of 255, which is constant and has no peaks. Equal texts have equal
+    Other columns of df are left out, so none can clash; rows that repeat give rows that repeat, null keys included; an empty table gives an empty one. A null text counts as empty; its payload is 576 bytes of 255, which is constant and has no peaks. Equal texts have equal
     columns. The longest text decides the memory a task needs (a small multiple of its bytes).
     """
     kind = df.schema[key].dataType.simpleString()

@@ -30,13 +30,14 @@ EXACT_LIMIT = 24
 
 @dataclass(frozen=True)
 class Rule:
-    """kind names the spans. Matches whose `group` is shorter than `least` characters are dropped after matching."""
+    """kind names the spans, which are those of the group `span`. Matches whose `group` is shorter than `least` characters are dropped after matching."""
 
     kind: str
     pattern: str
     ignore_case: bool = False
     group: int = 0
     least: int = 1
+    span: int = 0
 
     def compiled(self) -> re.Pattern:
         return re.compile(self.pattern, re.ASCII | (re.IGNORECASE if self.ignore_case else 0))
@@ -52,7 +53,8 @@ MORE_RULES = (
     Rule("private_key", r"-----BEGIN (?:RSA |EC |DSA |OPENSSH )?PRIVATE KEY-----"),
     Rule("git_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # tried once a run of its letters, from the first eyJ on, as a later one can't match where that doesn't: so "eyJeyJ..." costs linear time
+    Rule("web_token", r"(?<![A-Za-z0-9_-])(?:(?!eyJ)[A-Za-z0-9_-])*+(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", span=1),
     Rule("bearer", r"bearer\x20+[A-Za-z0-9+/_.=-]{16,}", True),
     Rule("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@", True),
 )
@@ -184,7 +186,7 @@ def evaluate(query, postings: dict[bytes, np.ndarray], rows: int) -> np.ndarray:
 
 def matches(rule: Rule, pattern: re.Pattern, text: str) -> list[tuple[int, int]]:
     """Leftmost non-overlapping matches in code points, without those that are too short."""
-    return [m.span() for m in pattern.finditer(text) if m.end(rule.group) - m.start(rule.group) >= rule.least]
+    return [m.span(rule.span) for m in pattern.finditer(text) if m.end(rule.group) - m.start(rule.group) >= rule.least]
 
 
 SPAN_TYPE = "array<struct<kind:string,start:int,end:int>>"

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 
 import numpy as np
@@ -46,3 +47,40 @@ def test_a_shifted_signal_shares_pairs():
     pairs = lambda f: {(int(v) >> 20, int(v) & 0xFFFFF) for v in f}
     moved = {(t - 10, h) for t, h in pairs(a)}
     assert len(moved & pairs(b)) > 0.9 * len(b)
+
+
+def plain_fingerprint(samples: np.ndarray) -> list[int]:
+    """The discrete Fourier transform by its sum, peaks cell by cell, and pairs one by one."""
+    n, hop, x = media.FRAME, media.HOP, samples.astype(float) - 128
+    window = [0.5 - 0.5 * math.cos(2 * math.pi * k / (n - 1)) for k in range(n)]
+    waves = np.exp(-2j * math.pi * np.outer(np.arange(1, n // 2 + 1), np.arange(n)) / n)
+    level = [np.abs(waves @ (x[at : at + n] * window)) for at in range(0, len(x) - n + 1, hop)]
+    value = lambda t, f: level[t][f] if 0 <= t < len(level) and 0 <= f < n // 2 else -1
+    found = []
+    for t, row in enumerate(level):
+        for f, v in enumerate(row):
+            if v > 2.5 * row.mean() and v > value(t, f - 1) and v >= value(t, f + 1) and v > value(t - 1, f) and v >= value(t + 1, f):
+                found.append((t, f))
+    out = []
+    for i, (t, f) in enumerate(found):
+        following = [p for p in found[i + 1 :] if p[0] > t][: media.FANOUT]
+        out += [t << 20 | f << 12 | g << 4 | (u - t - 1) for u, g in following if u - t <= media.ZONE]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_fingerprints_equal_the_plain_transform(seed, monkeypatch):
+    monkeypatch.setattr(media, "CHUNK_FRAMES", 5)
+    rng = np.random.default_rng(seed)
+    text = " ".join("".join(rng.choice(list("abcdef"), 5)) for _ in range(700))
+    for samples in (np.frombuffer(media.payload_of(text), dtype=np.uint8), rng.integers(0, 256, 3000).astype(np.uint8)):
+        want = plain_fingerprint(samples)
+        assert len(want) > 20 and media.fingerprint(samples).tolist() == want
+
+
+def test_other_columns_are_left_out(spark):
+    df = spark.createDataFrame([(1, "a", b"x"), (1, "a", b"x"), (None, None, None)], "doc_id long, text string, media binary")
+    out = media.with_media(df)
+    assert out.columns[0] == "doc_id" and out.columns.count("media") == 1 and out.count() == 3
+    assert bytes(out.where("doc_id = 1").first()["media"]) == media.to_wav(media.payload_of("a"))
+    assert media.with_media(df.limit(0)).collect() == []

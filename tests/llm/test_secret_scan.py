@@ -64,3 +64,22 @@ def test_other_columns_and_empty_tables(spark):
     row = s.scan_secrets(df).first()
     assert row["extra"] == 2.5 and [(x["kind"], x["start"], x["end"]) for x in row["secrets"]] == [("access", 0, 20)]
     assert s.secret_report(df.limit(0)).collect() == []
+
+
+def test_web_tokens_cost_linear_time_and_are_those_of_the_plain_pattern():
+    import random
+    import time
+
+    rule = next(r for r in s.RULES if r.kind == "web_token")
+    plain = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+    began = time.process_time()
+    assert s.matches(rule, rule.compiled(), "eyJ" * 100_000) == []
+    assert time.process_time() - began < 2
+    rng = random.Random(3)
+    hits = 0
+    for _ in range(3000):
+        text = "".join(rng.choice(["eyJ", "eyJabcdefgh", "abcdefgh", ".", ".", " ", "x", "eyJabcdefgh.eyJabcdefgh.abcdefgh"]) for _ in range(rng.randint(1, 10)))
+        want = [m.span() for m in plain.finditer(text)]
+        hits += len(want)
+        assert s.matches(rule, rule.compiled(), text) == want, text
+    assert hits > 200

@@ -83,3 +83,45 @@ def test_curve_separates():
     x = np.r_[np.zeros((50, 2)), np.ones((50, 2))]
     w = toxicity.fit_curve(x, np.r_[np.zeros(50), np.ones(50)])
     assert w[0] < 0 < w[0] + w[1] + w[2]
+
+
+def plain_hits(model: toxicity.Model, text: str) -> list[tuple[int, int, float]]:
+    """Every word of the lexicon looked for at every place, in both foldings."""
+    counted, spared = {}, []
+    for k, form in enumerate((toxicity.fold, toxicity.fold_digits)):
+        if k and not any(c in "013456789@$!|" for c in text):
+            continue
+        own = form(text)
+        for word, weight in [*model.weights.items(), *((p, None) for p in model.exceptions)]:
+            for a in range(len(text) - len(word) + 1):
+                b = a + len(word)
+                if own[a:b] == form(word) and not (a and text[a - 1].isalnum()) and not (b < len(text) and text[b].isalnum()):
+                    if weight is None:
+                        spared.append((a, b))
+                    else:
+                        counted[a, b] = max(weight, counted.get((a, b), weight))
+    out: list[tuple[int, int, float]] = []
+    for a, b in sorted(counted, key=lambda s: (s[0], -s[1])):
+        if all(b > y for _, y, _ in out) and not any(x <= a and b <= y for x, y in spared):
+            out.append((a, b, counted[a, b]))
+    return out
+
+
+def test_automata_equal_a_plain_scan():
+    rng = random.Random(6)
+    model = toxicity.Model({"idiot": 3.0, "clown": 2.0, "trash": 2.0, "scum": 2.0, "scumbag": 4.0, "bag": 1.0, "ill": 1.0}, ("trash can", "clown fish", "scumbag bag"))
+    swaps = {"i": "1!|іі", "o": "0оο", "s": "$5ѕ", "a": "4@а", "c": "сϲ", "l": "1|", "t": "7т"}
+    for _ in range(400):
+        text = "".join(rng.choice([*model.weights, *model.exceptions, "word", "antitrash", "x", "can", "fish"]) + rng.choice([" ", " ", "", "-", "9", "!"]) for _ in range(rng.randint(0, 9)))
+        text = "".join(rng.choice(swaps[c]) if c in swaps and rng.random() < 0.2 else c.upper() if rng.random() < 0.1 else c for c in text)
+        assert model.hits(text) == plain_hits(model, text), text
+
+
+def test_ids_of_any_type_repeated_ids_and_clashing_columns(spark):
+    rows = corpus()
+    docs = spark.createDataFrame([(f"d{i}", t, "k", 0.5) for i, t, _ in rows] + [(f"d{k}", "again and again", "k", 0.5) for k in (1, 1, 1, 3)], "doc_id string, text string, score string, toxicity double")
+    labels = spark.createDataFrame([(f"d{i}", 1, y) for i, _, y in rows], "doc_id string, quality int, toxic int")
+    assert toxicity.sample_texts(docs, labels, "toxic", 100).count() == 100
+    assert toxicity.toxicity_report(docs, labels).count() == len(rows) + 4
+    kept = toxicity.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns and kept.select("score", "toxicity").distinct().count() == 1
