@@ -20,6 +20,7 @@ from harvestry.operators.select import METHODS, select_diverse
 from harvestry.plans.config import Config, load_config
 from harvestry.plans.pipeline import curate, run_pipeline
 from harvestry.sources import files, sinks
+from harvestry.workdir import clean
 
 log = logging.getLogger("harvestry")
 
@@ -134,6 +135,8 @@ def main(argv: list[str] | None = None) -> int:
     except (FileNotFoundError, ValueError, NotImplementedError) as e:
         log.error("%s", e)
         return 1
+    finally:
+        clean(spark)  # results are stored or shown
     return 0
 
 

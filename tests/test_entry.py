@@ -17,6 +17,12 @@ def test_sql_is_for_queries():
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
+def test_every_query_of_the_engine_has_its_sql():
+    from harvestry.plans import oracle, queries
+
+    assert set(queries.QUERIES) == set(oracle.SQL)
+
+
 def test_only_the_entry_imports_the_llm_subpackage():
     inside = [p for p in (ROOT / "harvestry").rglob("*.py") if "llm" not in p.relative_to(ROOT).parts]
     assert inside and not [p for p in inside if re.search(r"harvestry\.llm|corpus_pipeline", p.read_text())]
