@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from harvestry.operators import charts, encode, quality
 from harvestry.operators.dedup import deduplicate
 from harvestry.operators.evaluate import evaluate_selection
+from harvestry.operators.knn import CellIndex
 from harvestry.operators.reduce import CentredPCA
 from harvestry.operators.select import select_diverse
 from harvestry.plans.config import Config
@@ -47,12 +48,14 @@ def curate(embeddings: DataFrame, config: Config, out: str | None = None) -> Res
         table = keep(pca.transform(table).drop("embedding").withColumnRenamed("reduced", "embedding"), "embeddings_reduced", "embedding")
     else:
         skipped.append("dimensionality_reduction")
-    if config.deduplication.enabled:
-        table = keep(deduplicate(table, config.deduplication.threshold, config.deduplication.neighbours), "deduplicated")
+    rule = config.deduplication
+    index = CellIndex.fit(table, rule.neighbours or 10, cells=rule.cells or None) if rule.cells is not None else None
+    if rule.enabled:
+        table = keep(deduplicate(table, rule.threshold, rule.neighbours, index=index), "deduplicated")
     else:
         skipped.append("deduplication")
     chosen = config.diversity_selection
-    more = {"clusters": chosen.hybrid.n_clusters} if chosen.method == "hybrid" else {}
+    more = {"clusters": chosen.hybrid.n_clusters} if chosen.method == "hybrid" else {"index": index} if chosen.method == "spectral" else {}
     picks = select_diverse(table, chosen.n_select, chosen.method, chosen.seed, **more)
     extra = [c for c in table.columns if c not in ("id", "embedding")]
     selected = keep(picks.join(table.select("id", *extra), "id").select("rank", "id", *extra) if extra else picks, "selected")

@@ -198,6 +198,18 @@ def test_pipeline_from_images(spark, tree, tmp_path):
     assert [r["id"] for r in again.selected.orderBy("rank").collect()] == picks
 
 
+def test_curate_by_cells_is_curate(spark):
+    rng = np.random.default_rng(2)
+    m = np.repeat(rng.normal(size=(12, 8)), 20, axis=0) + 0.01 * rng.normal(size=(240, 8))
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(m)], "id long, embedding array<double>")
+    base = {"dimensionality_reduction": {"enabled": False}, "diversity_selection": {"n_select": 5, "method": "fps"}, "evaluation": {"enabled": False}}
+    rows = []
+    for cells in (None, 6):
+        result = pipeline.curate(df, load_config(overrides=base | {"deduplication": {"cells": cells, "neighbours": 40}}))
+        rows.append((result.embeddings.count(), [r["id"] for r in result.selected.orderBy("rank").collect()]))
+    assert rows[0] == rows[1] and rows[0][0] == 12
+
+
 def test_command_from_images(spark, tree, tmp_path):
     out = str(tmp_path / "out")
     assert cli.main(["run", "--image-dir", tree, "--output-dir", out, "--n-select", "3", "--method", "fps", "--skip-quality-filter", "--skip-deduplication", "--device", "cpu", "--visualization-method", "pca"]) == 0
