@@ -58,11 +58,11 @@ class Reduction:
 
 @dataclass(frozen=True)
 class Deduplication:
-    """neighbours: null compares without a cap. cells: null searches exactly over all blocks; a number (0: one for each block of rows) searches by so many cells."""
+    """neighbours: 0 compares without a cap. cells: null searches exactly over all blocks; a number (0: one for each block of rows) searches by so many cells."""
 
     enabled: bool = True
     threshold: float = 0.95
-    neighbours: int | None = 10
+    neighbours: int = 10
     cells: int | None = None
 
 

@@ -51,7 +51,7 @@ def curate(embeddings: DataFrame, config: Config, out: str | None = None) -> Res
     rule = config.deduplication
     index = CellIndex.fit(table, rule.neighbours or 10, cells=rule.cells or None) if rule.cells is not None else None
     if rule.enabled:
-        table = keep(deduplicate(table, rule.threshold, rule.neighbours, index=index), "deduplicated")
+        table = keep(deduplicate(table, rule.threshold, rule.neighbours or None, index=index), "deduplicated")
     else:
         skipped.append("deduplication")
     chosen = config.diversity_selection
