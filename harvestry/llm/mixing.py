@@ -227,7 +227,7 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
     base = docs.drop(out)
     n, p = ("tokens", "posterior") if keep_posterior else (clash_free(base.schema, "tokens"), clash_free(base.schema, "posterior"))
     own = with_posteriors(base, model, out=(n, p))
-    own = written(own if keep_text else own.drop("text"), "posteriors")
+    own = written(own, "posteriors") if keep_text else written(own.drop("text"), "posteriors", sparse=True)
     fit = fit_rates(own, model.domains, targets or dict.fromkeys(model.domains, 1.0), columns=(n, p))
     short = {d: g for d, g in fit.gap.items() if abs(g) > 1e-3}
     if short:

@@ -22,6 +22,7 @@ margin of 0.12 is over five standard deviations, and that of the bits six.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harvestry.llm.common import map_batches, written
-from harvestry.llm.kernel import binary_column, blocks, mix, sets, tokens
+from harvestry.llm.kernel import LOWER, binary_column, blocks, mix, sets, tokens
 from harvestry.operators.rank import running_total
 from harvestry.workdir import discard
 
@@ -240,6 +241,17 @@ def _likely(least: float):
     return run
 
 
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def similar(a: str, b: str, width: int, percent: int) -> bool:
+    """Whether the sets of the words' own shingles reach the threshold, with no hash."""
+    one, two = (_WORD.findall(t.encode().translate(bytes(LOWER))) for t in (a, b))
+    x, y = ({tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set() for w in (one, two))
+    both = len(x & y)
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _verified(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,9 +259,10 @@ def _verified(width: int, percent: int):
                 part = batch.slice(at, 64)
                 one, two = ([s for block in blocks(part.column(k)) for s in sets(tokens(block), width)] for k in (2, 3))
                 keep = []
-                for x, y in zip(one, two, strict=True):
+                for r, (x, y) in enumerate(zip(one, two, strict=True)):
                     both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+                    linked = both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+                    keep.append(linked and similar(part.column(2)[r].as_py(), part.column(3)[r].as_py(), width, percent))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep, type=pa.bool_()))
 
     return run
@@ -324,7 +337,7 @@ def _tile(width: int, percent: int):
         a, b = [], []
         for i, j in zip(*np.nonzero(np.triu(linked)), strict=True):
             p, q = find(int(own[i])), find(int(own[j]))
-            if p != q:
+            if p != q and similar(texts[i].as_py(), texts[j].as_py(), width, percent):
                 root[max(p, q)] = min(p, q)
                 a.append(min(ids[i], ids[j]))
                 b.append(max(ids[i], ids[j]))
@@ -432,7 +445,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     that links lead to. Null, empty and wordless texts have no shingle and are their own component. A null key has a null
     component. Rows that repeat a key count as one document that holds each of their texts. Ties need no rule, as a component is named by its
     smallest key. Very long texts and words are whole, as shingles of hashes; a row decides the memory of its block. An empty table gives an empty
-    one. Only key and text are read, so other columns can't clash. Sets are of 64-bit hashes of whole shingles, every byte mixed with its place.
+    one. Only key and text are read, so other columns can't clash. Sets are of 64-bit hashes of whole shingles, every byte mixed with its place; each link is confirmed on the words themselves,
+    and equal sets are those with equal numbers and equal 128-bit sums.
     """
     id_type = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
