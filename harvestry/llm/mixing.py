@@ -218,8 +218,8 @@ class Mix:
 def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, out: str = "rate", keep_posterior: bool = False, keep_text: bool = True) -> Mix:
     """docs with a rate each. Targets default to equal weights of the labelled domains.
 
-    A rate is how often a document is to be read on average. No row is dropped, sampled or repeated here. Each text is read once: rows are written with
-    their words and posterior, and all else is read from there. Null and empty texts have no tokens; their rate follows from the prior. Null ids and repeated rows
+    A rate is how often a document is to be read on average. No row is dropped, sampled or repeated here. Words and posteriors are written once, and the steps read only these.
+    Without keep_text so do the rows that come out; with it their texts are classified once more as they are read, so that the corpus needs no second copy on disk. Null and empty texts have no tokens; their rate follows from the prior. Null ids and repeated rows
     are rows like others. A column named `out` is replaced; with keep_posterior so are `tokens` and `posterior`, otherwise such columns stay. An empty table gives an empty one.
     The gap tells how far the targets are met; a warning is logged for a gap over a thousandth of all tokens, as when a domain's documents are too mixed to reach its target.
     """
@@ -227,8 +227,9 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
     base = docs.drop(out)
     n, p = ("tokens", "posterior") if keep_posterior else (clash_free(base.schema, "tokens"), clash_free(base.schema, "posterior"))
     own = with_posteriors(base, model, out=(n, p))
-    own = written(own, "posteriors") if keep_text else written(own.drop("text"), "posteriors", sparse=True)
-    fit = fit_rates(own, model.domains, targets or dict.fromkeys(model.domains, 1.0), columns=(n, p))
+    table = written(own.select(n, p) if keep_text else own.drop("text"), "posteriors", sparse=True)
+    own = own if keep_text else table
+    fit = fit_rates(table, model.domains, targets or dict.fromkeys(model.domains, 1.0), columns=(n, p))
     short = {d: g for d, g in fit.gap.items() if abs(g) > 1e-3}
     if short:
         log.warning("targets missed by shares of all tokens: %s", short)
