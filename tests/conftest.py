@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import logging
 import sys
 from pathlib import Path
 
@@ -27,3 +28,13 @@ def spark():
     reachable(s)
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True)
+def own_logging():
+    """A command's log handlers end with its test."""
+    root = logging.getLogger()
+    handlers, level = root.handlers[:], root.level
+    yield
+    root.handlers[:] = handlers
+    root.setLevel(level)
