@@ -200,8 +200,9 @@ def _vecs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _near(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _vecs(spark, sf_dir)
-    return knn.nearest_distance(v, evaluate.selected_vectors(v, _fps(spark, sf_dir)))
+    """Computed once and written: ranks, quantiles and bins read it several times. So are the picks, whose few rows can then be broadcast."""
+    chosen = evaluate.selected_vectors(rows(spark, sf_dir), written(_fps(spark, sf_dir), "picks"))
+    return written(knn.nearest_distance(_vecs(spark, sf_dir), evaluate.vectors(chosen)), "near")
 
 
 def coverage_nn_distance(spark: SparkSession, sf_dir: str) -> DataFrame:

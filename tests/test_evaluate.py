@@ -140,3 +140,14 @@ def test_ranks_and_quantiles_are_global(spark):
     got = quantiles(df, "x", {"a": 0.0, "b": 0.13, "c": 0.5, "d": 1.0}).first()
     assert np.allclose(list(got), np.quantile(values, [0, 0.13, 0.5, 1]))
     assert tuple(quantiles(df.limit(0), "x", {"a": 0.5}).first()) == (None,)
+
+
+@pytest.mark.parametrize("name", ["coverage_cdf", "boxplot_stats", "coverage_metrics"])
+def test_distances_are_computed_once_for_a_query(spark, name, monkeypatch):
+    """What ranks, quantiles and bins read again and again is a written table."""
+    from harvestry.plans import queries
+
+    own, seen = queries._near, []
+    monkeypatch.setattr(queries, "_near", lambda *a: (seen.append(own(*a)), seen[-1])[1])
+    assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(seen) == 1 and all("/near-" in f for f in seen[0].inputFiles())

@@ -146,3 +146,42 @@ def test_zero_vectors_nulls_and_empty(spark):
     df = spark.createDataFrame([(0, [0.0, 0.0]), (1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 0.0]), (4, None)], "id long, embedding array<double>")
     assert sorted(r["id"] for r in dedup.deduplicate(df).collect()) == [0, 1, 2, 4]
     assert dedup.deduplicate(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("sent_numbers", [0, 1 << 20])
+def test_nearest_distance_is_the_least_of_all(spark, sent_numbers):
+    """By rows sent to the tasks and by blocks: repeated ids, groups, vectors of other lengths (which meet their like alone) and unusable ones."""
+    m = np.random.default_rng(6).integers(-3, 4, (90, 3)).astype(float)
+    rows = [*((i % 80, v.tolist()) for i, v in enumerate(m)), (200, [1.0, 5.0]), (201, [1.0]), (202, None), (203, [float("nan"), 1.0, 1.0]), (None, [1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>").repartition(5)
+    chosen = spark.createDataFrame([*((i, m[i].tolist(), "ab"[i % 2]) for i in range(12)), (20, [4.0, 1.0], "a")], "id long, embedding array<double>, grp string").repartition(4)
+    want = {}
+    for i, v in enumerate(m):
+        for k in range(12):
+            for key in ((i % 80, None), (i % 80, "ab"[k % 2])):
+                want[key] = min(want.get(key, np.inf), float(np.linalg.norm(v - m[k])))
+    want |= {(200, None): 5.0, (200, "a"): 5.0}
+    got = [((r["id"], None), r["distance"]) for r in knn.nearest_distance(df, chosen, sent_numbers=sent_numbers).collect()]
+    got += [((r["id"], r["grp"]), r["distance"]) for r in knn.nearest_distance(df, chosen, group="grp", sent_numbers=sent_numbers).collect()]
+    assert len(got) == len(want) and dict(got).keys() == want.keys() and all(abs(want[k] - d) < 1e-12 for k, d in got)
+    assert knn.nearest_distance(df, chosen.limit(0), sent_numbers=sent_numbers).count() == 0
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_nearest_distance_reads_rows_once(spark, no_broadcast):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    m = np.random.default_rng(3).normal(size=(60, 4))
+    df = frame(spark, m).repartition(6).mapInArrow(counted, "id long, embedding array<double>")
+    assert len(knn.nearest_distance(df, frame(spark, m[:20]).repartition(5)).collect()) == 60 and read.value == 60
