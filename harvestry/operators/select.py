@@ -22,7 +22,7 @@ METHODS = ("random", "kmeans", "fps", "hybrid", "spectral")
 #: Numbers that one task may hold for the exact farthest-point kernel: half a GB of doubles. Beyond it the same points are found in rounds.
 EXACT_NUMBERS = 1 << 26
 #: Numbers of candidates' vectors that a round takes to the driver.
-ROUND_NUMBERS = 1 << 21
+ROUND_NUMBERS = 1 << 18
 
 
 def farthest(m: np.ndarray, k: int, first: int | None = 0, least: np.ndarray | None = None) -> np.ndarray:
@@ -65,12 +65,21 @@ def _one_task(df: DataFrame, k: int, first_id: int | None) -> DataFrame:
     return df.withColumn("g", F.lit("all")).groupBy("g").applyInPandas(run, "rank int, id long")
 
 
+def _foremost(ids: np.ndarray, x: np.ndarray, far: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n farthest rows, ties to the lowest id; of equal vectors the first alone, as the others are at no distance once it is picked."""
+    order = np.lexsort((ids, -far))
+    _, first = np.unique(np.ascontiguousarray(x[order]).view(np.dtype((np.void, x.itemsize * x.shape[1]))).ravel(), return_index=True)
+    at = order[np.sort(first)[:n]]
+    return ids[at], x[at], far[at]
+
+
 def _rounds(df: DataFrame, k: int, first_id: int | None, candidates: int | None = None) -> DataFrame:
     """The same picks as in one task, in distributed rounds over (id, v, least).
 
     Each round finds the rows farthest from all picks so far, a bounded number of them, and takes them to the driver. There the greedy steps go on
     among them as long as the next pick is farther than the row that just missed the round was, which bounds all others, as distances only shrink. The picks,
-    a selection of k rows, are sent to the tasks of the next round; nothing else is kept between rounds.
+    a selection of k rows, are sent to the tasks of the next round; nothing else is kept between rounds. Without anchors a task gives no more than its own foremost rows;
+    equal vectors it leaves out come behind the first of them, and after it only rows at no distance, so steps at no distance begin a round each.
     """
     spark = df.sparkSession
     blocks = written(pack(df.select("id", "v"), "id", "v"), "blocks")
@@ -90,27 +99,37 @@ def _rounds(df: DataFrame, k: int, first_id: int | None, candidates: int | None
         shared = spark.sparkContext.broadcast((taken, held))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            taken, held = shared.value  # noqa: B023
+            out = lambda ids, x, far: pa.RecordBatch.from_arrays([pa.array(ids), pa.array([row.tobytes() for row in x], pa.binary()), pa.array(far)], names=["id", "v", "far"])
+            kept, edge = None, -np.inf
             for batch in batches:
                 for r in range(batch.num_rows):
-                    ids, x = np.array(batch.column(0)[r].as_py()), matrix_of(batch.column(2)[r].as_py(), batch.column(1)[r].as_py())
-                    taken, held = shared.value  # noqa: B023
+                    ids, x = batch.column(0)[r].values.to_numpy(zero_copy_only=False), matrix_of(batch.column(2)[r].as_py(), batch.column(1)[r].as_py())
                     least = np.full(len(ids), np.inf)
                     for p in held:
                         np.minimum(least, ((x - p) ** 2).sum(axis=1), out=least)
-                    free = np.flatnonzero(~np.isin(ids, taken))
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[free]), pa.array([x[i].tolist() for i in free], pa.list_(pa.float64())), pa.array(least[free])], names=["id", "v", "far"])
-
-        far = blocks.mapInArrow(run, "id long, v array<double>, far double")
+                    free = np.flatnonzero(~np.isin(ids, taken) & (least >= edge))
+                    own = ids[free], x[free], least[free]
+                    if anchored:
+                        yield out(*own)
+                    elif len(free):
+                        kept = _foremost(*(own if kept is None else (np.concatenate(c) for c in zip(kept, own, strict=True))), m + 1)
+                        edge = kept[2][-1] if len(kept[2]) > m else -np.inf
+            if kept is not None:
+                yield out(*kept)
+
+        far = blocks.mapInArrow(run, "id long, v binary, far double")
         if anchored:
             far = far.join(start, "id", "left").withColumn("far", F.least("far", F.coalesce("least", F.lit(float("inf"))))).drop("least")
         top = far.orderBy(F.desc("far"), "id").limit(m + 1).collect()
         if not top:
             break
         bound, rest = ((top[m]["far"], top[m]["id"]) if len(top) > m else (-np.inf, 0)), sorted(top[:m], key=lambda r: r["id"])
-        ids, x, least = np.array([r["id"] for r in rest]), np.array([r["v"] for r in rest]), np.array([r["far"] for r in rest])
+        ids, x, least = np.array([r["id"] for r in rest]), np.array([np.frombuffer(r["v"]) for r in rest]), np.array([r["far"] for r in rest])
+        had = len(picks)
         while len(picks) < k:
             at = int(least.argmax())
-            if least[at] < 0 or (least[at], -ids[at]) < (bound[0], -bound[1]):
+            if least[at] < 0 or (least[at], -ids[at]) < (bound[0], -bound[1]) or (least[at] == 0 and len(picks) > had and not anchored):
                 break
             picks.append((int(ids[at]), x[at]))
             np.minimum(least, ((x - x[at]) ** 2).sum(axis=1), out=least)

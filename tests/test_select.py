@@ -139,3 +139,16 @@ def test_core_set_covers_within_four_times_the_best(spark):
 def test_empty_table(spark):
     df = frame(spark, np.eye(2)).limit(0)
     assert ids(select.random_selection(df, 3)) == [] and ids(select.fps_selection(df, 3)) == []
+
+
+@pytest.mark.parametrize("k", [6, 20])
+def test_copies_take_no_rounds_of_their_own(spark, k, monkeypatch):
+    """Six vectors of 40 copies each: six picks need two rounds, and those at no distance are still the lowest ids."""
+    m = np.repeat(np.random.default_rng(2).normal(size=(6, 3)), 40, axis=0)[np.random.default_rng(3).permutation(240)]
+    df, own, rounds = frame(spark, m).repartition(3), select._rounds, []
+    want = ids(select.fps_selection(df, k))
+    send = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(select, "_rounds", lambda df, k, first: own(df, k, first, 18))
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: (rounds.append(value), send(self, value))[1])
+    assert ids(select.fps_selection(df, k, task_numbers=0)) == want
+    assert k > 6 or len(rounds) <= 2
